@@ -1,0 +1,41 @@
+"""python tests/check.py <sf dir> [name ...]: every query against its SQL, with timings."""
+
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from compare import connect, difference  # noqa: E402
+
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from panelweave.session import local_session  # noqa: E402
+
+
+def main() -> None:
+    sf, names = sys.argv[1], sys.argv[2:]
+    spark = local_session()
+    spark.sparkContext.setLogLevel("ERROR")
+    con, sqls, failed = connect(sf), oracle_sql(), []
+    for name, fn in queries().items():
+        if names and name not in names:
+            continue
+        start = time.time()
+        try:
+            if name in sqls:
+                problem = difference(fn(spark, sf), con, sqls[name])
+            else:
+                rows = fn(spark, sf).count()
+                problem = None if rows else "no rows"
+                print(f"  {rows} rows")
+        except Exception as error:  # noqa: BLE001
+            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        kind = "sql " if name in sqls else "rows"
+        print(f"{'FAIL' if problem else 'ok  '} {kind} {time.time() - start:6.1f}s {name} {problem or ''}", flush=True)
+        failed += [name] if problem else []
+    print("failed:", failed)
+
+
+if __name__ == "__main__":
+    main()
