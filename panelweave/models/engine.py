@@ -1,0 +1,232 @@
+"""Fits one model per (period, target) for all of them at once.
+
+Every family is written as sums over rows: ``partial`` turns a block of rows
+into arrays, arrays of blocks are added, ``update`` moves the model on. Spark
+cuts each task's rows into blocks of bounded size. A task that fits one block
+runs its loop there; larger tasks run it across the cluster, one round of
+partial sums per step, so no task's rows are ever gathered. The number of jobs
+does not depend on the number of models.
+
+Frame: ``period, target, entity, window, row_key, y, weight, fold, x, configs``;
+``fold`` is -1 for rows to predict.
+"""
+
+from __future__ import annotations
+
+import pickle
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from panelweave.operators.ranking import split_hot
+from panelweave.session import cut
+
+TASK = ["period", "target"]
+ROW = ["entity", "window"]
+BLOCK_ROWS = 4096
+_STATE = "period int, target string, unit int, state binary, done boolean"
+
+
+class Block:
+    """Rows of one task as arrays; ``memo`` keeps what a later step can reuse."""
+
+    def __init__(self, rows: pd.DataFrame):
+        rows = rows.sort_values("row_key", kind="stable")
+        self.x = np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), -1)
+        self.fold = rows["fold"].to_numpy()
+        self.y = np.where(self.fold >= 0, rows["y"].to_numpy(dtype=float), 0.0)
+        self.weight = np.where(self.fold >= 0, rows["weight"].to_numpy(dtype=float), 0.0)
+        self.key = rows["row_key"].to_numpy().astype(np.int64).view(np.uint64)
+        self.rows = rows
+        self.memo: dict = {}
+
+
+def _task_meta(frame: DataFrame, cuts: DataFrame | None) -> DataFrame:
+    """What a model must know before it sees rows: folds, width, configurations, cuts."""
+    meta = frame.where("fold >= 0").groupBy(*TASK).agg(
+        (F.max("fold") + 1).alias("folds"),
+        F.max(F.size("x")).alias("width"),
+        F.min_by("configs", "row_key").alias("configs"),
+        F.avg("weight").alias("mean_weight"),
+    )
+    if cuts is None:
+        return meta.withColumn("cuts", F.lit(None).cast("array<array<double>>"))
+    return meta.join(cuts, TASK)
+
+
+def feature_cuts(frame: DataFrame, bins: int) -> DataFrame:
+    """Per task and feature: up to ``bins - 1`` quantile cut points of the train rows."""
+    probs = F.array(*[F.lit(b / bins) for b in range(1, bins)])
+    cells = frame.where("fold >= 0").select(*TASK, F.posexplode("x").alias("j", "v"))
+    return (
+        cells.groupBy(*TASK, "j")
+        .agg(F.array_sort(F.array_distinct(F.percentile_approx("v", probs, 5000))).alias("cut"))
+        .groupBy(*TASK)
+        .agg(F.sort_array(F.collect_list(F.struct("j", "cut"))).alias("c"))
+        .select(*TASK, F.transform("c", lambda c: c["cut"]).alias("cuts"))
+    )
+
+
+def fit(frame: DataFrame, family, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(blocks, fitted states) of ``family`` for every task of the frame."""
+    blocks = cut(split_hot(frame, TASK, ["row_key"], block_rows), "blocks")
+    cuts = feature_cuts(blocks, family.bins) if family.bins else None
+    meta = _task_meta(blocks, cuts).withColumn(
+        "unit", F.explode(F.sequence(F.lit(0), F.lit(family.units - 1)))
+    )
+    meta = cut(meta.join(blocks.groupBy(*TASK).agg(F.max("salts").alias("salts")), TASK), "meta")
+
+    def whole(key, rows: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or info.empty:
+            return pd.DataFrame(columns=["period", "target", "unit", "state", "done"])
+        block, state = Block(rows), family.start(info.iloc[0])
+        while not state["done"]:
+            state = family.update(state, family.partial(state, block))
+        return _state_row(key, state)
+
+    units = _per_unit(blocks.where("salts = 1"), family.units)
+    keys = [*TASK, "unit"]
+    states = units.groupBy(*keys).cogroup(
+        meta.where("salts = 1").groupBy(*keys)
+    ).applyInPandas(whole, _STATE)
+    large = blocks.where("salts > 1")
+    if large.limit(1).count():
+        states = states.unionByName(_fit_spread(large, meta.where("salts > 1"), family))
+    return blocks, cut(states, "states")
+
+
+def _state_row(key, state: dict) -> pd.DataFrame:
+    return pd.DataFrame({
+        "period": [key[0]], "target": [key[1]], "unit": [key[2]],
+        "state": [pickle.dumps(state)], "done": [bool(state["done"])],
+    })
+
+
+def _per_unit(blocks: DataFrame, units: int) -> DataFrame:
+    out = blocks.withColumn("unit", F.explode(F.sequence(F.lit(0), F.lit(units - 1))))
+    # Fresh names: rows and states may stem from one frame.
+    return out.select(*[F.col(c).alias(c) for c in out.columns])
+
+
+def _fit_spread(blocks: DataFrame, meta: DataFrame, family) -> DataFrame:
+    """The same loop for tasks of several blocks: partial sums, one reduce, one update."""
+    rows = _per_unit(blocks, family.units)
+    keys = [*TASK, "unit"]
+
+    def begin(batches):
+        for pdf in batches:
+            for info in pdf.itertuples(index=False):
+                info = pd.Series(info._asdict())
+                yield _state_row((info["period"], info["target"], info["unit"]), family.start(info))
+
+    states = cut(meta.mapInPandas(begin, _STATE), "states")
+
+    def sums(key, block: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+        columns = ["period", "target", "unit", "state", "part"]
+        if block.empty or state.empty:
+            return pd.DataFrame(columns=columns)
+        current = pickle.loads(state["state"].iloc[0])
+        part = pickle.dumps(family.partial(current, Block(block)))
+        carried = state["state"].iloc[0] if state["first"].iloc[0] else None
+        return pd.DataFrame([[key[0], key[1], key[2], carried, part]], columns=columns)
+
+    def reduce(batches):
+        last, total, state = None, None, None
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                key = (row.period, row.target, row.unit)
+                if key != last:
+                    if last is not None:
+                        yield _state_row(last, family.update(state, total))
+                    last, total, state = key, None, None
+                part = pickle.loads(row.part)
+                total = part if total is None else {k: total[k] + part[k] for k in part}
+                if row.state is not None:
+                    state = pickle.loads(row.state)
+        if last is not None:
+            yield _state_row(last, family.update(state, total))
+
+    occupied = cut(blocks.groupBy(*TASK).agg(F.collect_set("salt").alias("used")), "salts")
+    schema = "period int, target string, unit int, state binary, part binary"
+    while True:
+        open_states = states.where("not done")
+        if not open_states.limit(1).count():
+            return states
+        addressed = open_states.join(occupied, TASK).select(
+            *[F.col(k).alias(k) for k in keys], "state",
+            F.explode("used").alias("salt"), F.array_min("used").alias("lowest"),
+        ).withColumn("first", F.col("salt") == F.col("lowest"))
+        parts = rows.groupBy(*keys, "salt").cogroup(addressed.groupBy(*keys, "salt")).applyInPandas(
+            sums, schema
+        )
+        moved = (
+            parts.repartition(*keys).sortWithinPartitions(*keys, F.asc_nulls_last("state"))
+            .mapInPandas(reduce, _STATE)
+        )
+        states = cut(states.where("done").unionByName(moved), "states")
+
+
+def predict(blocks: DataFrame, states: DataFrame, family) -> DataFrame:
+    """Predictions per row and configuration.
+
+    Train rows are predicted by the model that did not see their fold, the other
+    rows by the model of all train rows. ``members`` holds one value per ensemble
+    member of the unit.
+    """
+    types = {f.name: f.dataType.simpleString() for f in blocks.schema.fields}
+    columns = [*TASK, *ROW, "row_key", "fold", "y", "config", "members"]
+    schema = ", ".join(
+        [f"{c} {types[c]}" for c in [*TASK, *ROW, "row_key", "fold", "y"]]
+        + ["config int", "members array<double>"]
+    )
+    salted = blocks.select(*TASK, "salt").distinct()
+    addressed = states.join(salted, TASK).select(
+        *[F.col(c).alias(c) for c in [*TASK, "unit", "salt", "state"]]
+    )
+
+    def score(key, block: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+        if block.empty or state.empty:
+            return pd.DataFrame(columns=columns)
+        data = Block(block)
+        out = []
+        for config, rows, members in family.predict(pickle.loads(state["state"].iloc[0]), data):
+            part = data.rows.iloc[rows][[*TASK, *ROW, "row_key", "fold", "y"]].copy()
+            part["config"] = config
+            part["members"] = list(members)
+            out.append(part)
+        return pd.concat(out)[columns] if out else pd.DataFrame(columns=columns)
+
+    keys = [*TASK, "unit", "salt"]
+    rows = _per_unit(blocks, family.units)
+    scored = rows.groupBy(*keys).cogroup(addressed.groupBy(*keys)).applyInPandas(score, schema)
+    if family.ensemble and family.units > 1:
+        scored = scored.groupBy(*TASK, *ROW, "row_key", "fold", "config").agg(
+            F.first("y").alias("y"), F.flatten(F.collect_list("members")).alias("members")
+        )
+    total = F.aggregate("members", F.lit(0.0), lambda a, m: a + m)
+    return scored.withColumn("prediction", total / F.size("members"))
+
+
+def importances(states: DataFrame, family) -> DataFrame:
+    """``(period, target, config, position, value)`` of the models of all train rows."""
+
+    def read(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                for config, values in family.importance(pickle.loads(row.state)):
+                    out.append(pd.DataFrame({
+                        "period": row.period, "target": row.target, "config": config,
+                        "position": np.arange(len(values)), "value": values,
+                    }))
+            if out:
+                yield pd.concat(out)
+
+    schema = "period int, target string, config int, position int, value double"
+    return (
+        states.mapInPandas(read, schema)
+        .groupBy(*TASK, "config", "position")
+        .agg(F.avg("value").alias("value"))
+    )

@@ -1,0 +1,182 @@
+"""Linear models from sums of products: penalised least squares and support vectors."""
+
+from __future__ import annotations
+
+import numpy as np
+
+
+def moments(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Weighted sums of products of (1, x, y) for every row of weights ``w``."""
+    z = np.column_stack([np.ones(len(x)), x, y])
+    return np.einsum("mn,ni,nj->mij", w, z, z)
+
+
+def standard(total: np.ndarray):
+    """(mean, deviation) of (x, y) from moments; a constant column gets deviation 1."""
+    n = max(total[0, 0], 1e-300)
+    mean = total[0, 1:] / n
+    var = np.maximum(np.diag(total)[1:] / n - mean**2, 0)
+    return mean, np.where(var > 1e-18 * np.maximum(mean**2, 1e-300), np.sqrt(var), 1.0)
+
+
+class Linear:
+    """Squared loss with ridge, lasso or elastic-net penalty.
+
+    Moments per fold are sums, so the sums without a fold are a subtraction: one
+    pass over the rows serves every fold and every penalty.
+    """
+
+    ensemble, bins, units = False, 0, 1
+    # Penalty mixes of the grid: ridge, lasso, elastic net.
+    MIXES = (0.0, 1.0, 0.15)
+
+    def __init__(self, strengths=(1e-4, 1e-3, 1e-2, 1e-1), sweeps=200):
+        self.grid = [(a, m) for m in self.MIXES for a in strengths]
+        self.configs, self.sweeps = len(self.grid), sweeps
+
+    def start(self, info) -> dict:
+        return {"folds": int(info["folds"]), "configs": [int(c) for c in info["configs"]],
+                "coef": None, "done": False}
+
+    def partial(self, state, block) -> dict:
+        folds = np.arange(state["folds"])
+        w = np.where(block.fold[None, :] == folds[:, None], block.weight[None, :], 0.0)
+        return {"sums": moments(block.x, block.y, w)}
+
+    def update(self, state, total) -> dict:
+        sums = total["sums"]
+        whole = sums.sum(axis=0)
+        slots = np.concatenate([whole - sums, whole[None]])
+        mean, dev = standard(whole)
+        p = len(mean) - 1
+        # Products of standardised, centred columns for every slot.
+        shift = np.eye(p + 2)
+        shift[1:, 0] = -mean / dev
+        shift[1:, 1:] = np.diag(1 / dev)
+        z = shift @ slots @ shift.T
+        n = np.maximum(z[:, 0, 0], 1e-300)
+        centre = z[:, 1:, 0] / n[:, None]
+        cov = z[:, 1:, 1:] / n[:, None, None] - centre[:, :, None] * centre[:, None, :]
+        grid = [self.grid[c] for c in state["configs"]]
+        alpha = np.array([a for a, _ in grid])[None, :, None]
+        mixed = np.array([m for _, m in grid])[None, :, None]
+        g, c = cov[:, :p, :p], cov[:, :p, p]
+        v = np.zeros((len(slots), len(grid), p))
+        for _ in range(self.sweeps):
+            before = v.copy()
+            for j in range(p):
+                rest = c[:, None, j] - np.einsum("skp,sp->sk", v, g[:, j]) + v[:, :, j] * g[:, None, j, j]
+                l1, l2 = (alpha * mixed)[:, :, 0], (alpha * (1 - mixed))[:, :, 0]
+                soft = np.sign(rest) * np.maximum(np.abs(rest) - l1, 0)
+                v[:, :, j] = soft / np.maximum(g[:, None, j, j] + l2, 1e-12)
+            if np.max(np.abs(v - before), initial=0) < 1e-10:
+                break
+        level = centre[:, None, p] - np.einsum("skp,sp->sk", v, centre[:, :p])
+        coef = v * dev[p] / dev[:p]
+        base = mean[p] + dev[p] * level - coef @ mean[:p]
+        return state | {"coef": np.concatenate([base[..., None], coef], axis=2), "done": True}
+
+    def predict(self, state, block):
+        owner = np.where(block.fold >= 0, block.fold, state["folds"])
+        every = np.arange(len(owner))
+        for k, config in enumerate(state["configs"]):
+            b = state["coef"][:, k][owner]
+            value = b[:, 0] + (b[:, 1:] * block.x).sum(axis=1)
+            yield config, every, value[:, None]
+
+    def importance(self, state):
+        for k, config in enumerate(state["configs"]):
+            yield config, state["coef"][-1, k, 1:]
+
+
+class SupportVector:
+    """Linear support vector regression by reweighted least squares.
+
+    ``loss`` is per configuration ``"tube"`` (absolute outside the tube) or
+    ``"squared"``. With ``nu`` the tube width follows the share of rows outside
+    it, read from a histogram of residuals that blocks can add up.
+    """
+
+    ensemble, bins, units = False, 0, 1
+    _EDGES = np.concatenate([[0.0], np.logspace(-6, 3, 400)])
+
+    def __init__(self, costs=(1, 2, 3), losses=("tube",), epsilon=0.1, nu=None, steps=15):
+        self.grid = [(c, loss) for loss in losses for c in costs]
+        self.configs, self.epsilon, self.nu, self.steps = len(self.grid), epsilon, nu, steps
+
+    def start(self, info) -> dict:
+        return {"folds": int(info["folds"]), "configs": [int(c) for c in info["configs"]],
+                "scale": None, "coef": None, "tube": None, "step": 0, "done": False}
+
+    def _slots(self, state, block):
+        slot = np.arange(state["folds"] + 1)
+        return np.where(block.fold[None, :] == slot[:, None], 0.0, block.weight[None, :])
+
+    def partial(self, state, block) -> dict:
+        w = self._slots(state, block)
+        if state["scale"] is None:
+            return {"sums": moments(block.x, block.y, w[-1:])[0]}
+        mean, dev = state["scale"]
+        x = (block.x - mean[:-1]) / dev[:-1]
+        y = (block.y - mean[-1]) / dev[-1]
+        members = len(state["configs"])
+        w = np.repeat(w, members, axis=0)
+        if state["coef"] is None:
+            return {"sums": moments(x, y, w), "tube": np.zeros((len(w), len(self._EDGES)))}
+        z = np.column_stack([np.ones(len(x)), x])
+        gap = y[None, :] - state["coef"] @ z.T
+        tube = state["tube"][:, None]
+        out = np.abs(gap) - tube
+        cost = np.array([self.grid[c][0] for c in state["configs"]] * (state["folds"] + 1), dtype=float)[:, None]
+        squared = np.array(
+            [self.grid[c][1] == "squared" for c in state["configs"]] * (state["folds"] + 1)
+        )[:, None]
+        pull = np.where(squared, 2 * cost, cost / dev[-1] / np.maximum(out, 1e-4))
+        pull = np.where(out > 0, pull * w, 0.0)
+        goal = y[None, :] - np.sign(gap) * tube
+        gram = np.einsum("mn,ni,nj->mij", pull, z, z)
+        right = np.einsum("mn,ni->mi", pull * goal, z)
+        bin_ = np.searchsorted(self._EDGES, np.abs(gap), side="right") - 1
+        spread = np.zeros((len(w), len(self._EDGES)))
+        m, r = np.nonzero(w > 0)
+        np.add.at(spread, (m, bin_[m, r]), 1.0)
+        return {"gram": gram, "right": right, "tube": spread}
+
+    def update(self, state, total) -> dict:
+        if state["scale"] is None:
+            return state | {"scale": standard(total["sums"])}
+        mean, dev = state["scale"]
+        p = len(mean) - 1
+        if state["coef"] is None:
+            gram, right = total["sums"][:, :-1, :-1], total["sums"][:, :-1, -1]
+            penalty = np.eye(p + 1) * 1e-6 * np.maximum(gram[:, :1, :1], 1e-12)
+        else:
+            gram, right = total["gram"], total["right"]
+            penalty = np.diag(np.concatenate([[1e-9], np.maximum(1 / dev[:p] ** 2, 1e-9)]))[None]
+        coef = np.linalg.solve(gram + penalty, right[..., None])[..., 0]
+        tube = np.full(len(coef), self.epsilon / dev[p])
+        if self.nu is not None and state["coef"] is not None:
+            share = np.cumsum(total["tube"], axis=1) / np.maximum(total["tube"].sum(axis=1, keepdims=True), 1)
+            tube = self._EDGES[np.argmax(share >= 1 - self.nu, axis=1)]
+        step = state["step"] + 1
+        return state | {"coef": coef, "tube": tube, "step": step, "done": step > self.steps}
+
+    def _raw(self, state):
+        mean, dev = state["scale"]
+        slope = state["coef"][:, 1:] * dev[-1] / dev[:-1]
+        base = mean[-1] + dev[-1] * state["coef"][:, 0] - slope @ mean[:-1]
+        shape = (state["folds"] + 1, len(state["configs"]))
+        return base.reshape(shape), slope.reshape(*shape, -1)
+
+    def predict(self, state, block):
+        base, slope = self._raw(state)
+        owner = np.where(block.fold >= 0, block.fold, state["folds"])
+        every = np.arange(len(owner))
+        for k, config in enumerate(state["configs"]):
+            value = base[owner, k] + (slope[owner, k] * block.x).sum(axis=1)
+            yield config, every, value[:, None]
+
+    def importance(self, state):
+        _, slope = self._raw(state)
+        for k, config in enumerate(state["configs"]):
+            yield config, slope[-1, k]

@@ -1,0 +1,343 @@
+"""Forests and boosted trees grown level by level from histograms."""
+
+from __future__ import annotations
+
+import numpy as np
+
+_CDF = np.cumsum([0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320)])
+MAX_DEPTH = 30
+
+
+def mix(a: np.ndarray) -> np.ndarray:
+    """64-bit finaliser: the same row and seed give the same draw on every run."""
+    a = a + np.uint64(0x9E3779B97F4A7C15)
+    a = (a ^ (a >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    a = (a ^ (a >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return a ^ (a >> np.uint64(31))
+
+
+def uniform(a: np.ndarray) -> np.ndarray:
+    return (mix(a) >> np.uint64(11)) * 2.0**-53
+
+
+def codes_of(block, cuts) -> np.ndarray:
+    """Bin of every value: bin b holds the values up to cut b."""
+    if "codes" not in block.memo:
+        block.memo["codes"] = np.stack(
+            [np.searchsorted(c, block.x[:, j]) for j, c in enumerate(cuts)], axis=1
+        )
+    return block.memo["codes"]
+
+
+def descend(at: np.ndarray, codes: np.ndarray, level: dict) -> np.ndarray:
+    """Next node of every (member, row); -1 once a row has come to a leaf.
+
+    A node is ``member << 32 | heap number``.
+    """
+    out = np.full_like(at, -1)
+    m, r = np.nonzero(at >= 0)
+    if not len(m):
+        return out
+    i = np.searchsorted(level["node"], at[m, r])
+    feature = level["feature"][i]
+    split = feature >= 0
+    m, r, i, feature = m[split], r[split], i[split], feature[split]
+    node = at[m, r]
+    right = codes[r, feature] > level["bin"][i]
+    out[m, r] = (node >> 32 << 32) | ((node & 0xFFFFFFFF) * 2 + right)
+    return out
+
+
+def histogram(at, codes, weight, label, frontier, bins) -> np.ndarray:
+    """(frontier node, feature, bin, [weight, weight x label]) sums."""
+    m, r = np.nonzero((at >= 0) & (weight > 0))
+    p = codes.shape[1]
+    slot = np.searchsorted(frontier, at[m, r])
+    flat = ((slot[:, None] * p + np.arange(p)) * bins + codes[r]).ravel()
+    w = weight[m, r]
+    size = len(frontier) * p * bins
+    out = np.empty((size, 2))
+    out[:, 0] = np.bincount(flat, np.repeat(w, p), minlength=size)
+    out[:, 1] = np.bincount(flat, np.repeat(w * label[m, r], p), minlength=size)
+    return out.reshape(len(frontier), p, bins, 2)
+
+
+def best_splits(hist: np.ndarray, frontier: np.ndarray, may_split: np.ndarray, seed: int | None) -> dict:
+    """The split of every frontier node with the largest drop in squared error.
+
+    With a seed, one random cut per feature is drawn inside the node's range and
+    the best feature wins; otherwise every cut competes.
+    """
+    left = np.cumsum(hist, axis=2)
+    total = left[:, :1, -1:, :]
+    w, s = left[..., 0], left[..., 1]
+    rw, rs = total[..., 0] - w, total[..., 1] - s
+    tiny = 1e-9 * np.maximum(total[..., 0], 1e-300)
+    open_ = (w > tiny) & (rw > tiny)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        gain = s * s / w + rs * rs / rw - total[..., 1] ** 2 / total[..., 0]
+    gain = np.where(open_, gain, -np.inf)
+    n, p, bins = gain.shape
+    if seed is not None:
+        lo = np.argmax(open_, axis=2)
+        count = open_.sum(axis=2)
+        draw = uniform(
+            mix(frontier.astype(np.uint64))[:, None] ^ mix(np.arange(p, dtype=np.uint64) + np.uint64(seed))
+        )
+        # Cuts of one node and feature are contiguous up to empty bins, which tie.
+        pick = np.minimum(lo + (draw * count).astype(int), bins - 1)
+        drawn = np.full_like(gain, -np.inf)
+        at = (np.arange(n)[:, None], np.arange(p), pick)
+        drawn[at] = gain[at]
+        gain = drawn
+    flat = gain.reshape(n, -1)
+    best = np.argmax(flat, axis=1) if n else np.zeros(0, dtype=int)
+    top = flat[np.arange(n), best]
+    tw, ts = total[:, 0, 0, 0], total[:, 0, 0, 1]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        value = np.where(tw > 0, ts / tw, np.nan)
+    scale = 1e-12 * np.maximum(1.0, ts * value)
+    split = may_split & np.isfinite(top) & (top > np.nan_to_num(scale, nan=np.inf))
+    return {
+        "node": frontier, "feature": np.where(split, best // bins, -1), "bin": best % bins,
+        "value": value, "gain": np.where(split, top, 0.0), "weight": tw,
+    }
+
+
+def children(level: dict) -> np.ndarray:
+    node = level["node"][level["feature"] >= 0]
+    member, heap = node >> 32 << 32, node & 0xFFFFFFFF
+    return np.sort(np.concatenate([member | heap * 2, member | (heap * 2 + 1)]))
+
+
+def roots(members: int) -> np.ndarray:
+    return (np.arange(members, dtype=np.int64) << 32) | 1
+
+
+def walk(levels: list[dict], codes: np.ndarray, members: int, depths: list[int], start=None):
+    """Yields (depth, value of the node reached) for every wanted depth, ascending."""
+    at = np.repeat(roots(members)[:, None], len(codes), axis=1)
+    reached = np.full(at.shape, np.nan)
+    last = len(levels) - 1
+    for depth in range(max(depths) + 1):
+        if depth <= last:
+            m, r = np.nonzero(at >= 0)
+            i = np.searchsorted(levels[depth]["node"], at[m, r])
+            value = levels[depth]["value"][i]
+            keep = ~np.isnan(value)
+            reached[m[keep], r[keep]] = value[keep]
+        if depth in depths:
+            yield depth, reached.copy()
+        if depth < last:
+            at = descend(at, codes, levels[depth])
+
+
+def leaves(levels: list[dict], codes: np.ndarray, members: int, depth: int) -> np.ndarray:
+    """The node each (member, row) ends in when trees are cut at ``depth``."""
+    at = np.repeat(roots(members)[:, None], len(codes), axis=1)
+    end = at.copy()
+    for level in levels[:depth]:
+        at = descend(at, codes, level)
+        end = np.where(at >= 0, at, end)
+    return end
+
+
+class Forest:
+    """Bagged trees (``random_cuts=False``) or extremely randomised trees.
+
+    A tree cut at depth d is the tree grown to depth d, so one growth serves the
+    whole depth grid. Configuration c uses ``depths[c]``.
+    """
+
+    ensemble = True
+
+    def __init__(self, trees=100, depths=(5, 10, 20, 30), bins=32, seed=0, random_cuts=False,
+                 bootstrap=True, unit_trees=25):
+        self.depths = [min(d, MAX_DEPTH) for d in depths]
+        self.trees, self.bins, self.seed = trees, bins, seed
+        self.random_cuts, self.bootstrap, self.unit_trees = random_cuts, bootstrap, unit_trees
+        self.units = -(-trees // unit_trees)
+        self.configs = len(self.depths)
+
+    def start(self, info) -> dict:
+        slots = int(info["folds"]) + 1
+        unit = int(info["unit"])
+        mine = np.arange(unit * self.unit_trees, min(self.trees, (unit + 1) * self.unit_trees))
+        configs = [int(c) for c in info["configs"]]
+        return {
+            "slot": np.repeat(np.arange(slots), len(mine)),
+            "tree": np.tile(mine, slots),
+            "cuts": [np.asarray(c, dtype=float) for c in info["cuts"]],
+            "configs": configs,
+            "depth": max(self.depths[c] for c in configs),
+            "levels": [],
+            "frontier": roots(slots * len(mine)),
+            "done": False,
+        }
+
+    def _weights(self, state, block) -> np.ndarray:
+        if "weights" not in block.memo:
+            out = np.where(block.fold[None, :] == state["slot"][:, None], 0.0, block.weight[None, :])
+            if self.bootstrap:
+                member = (state["slot"] * 100_003 + state["tree"] + 7919 * self.seed).astype(np.uint64)
+                draw = uniform(block.key[None, :] ^ mix(member)[:, None])
+                out = out * np.searchsorted(_CDF, draw, side="right")
+            block.memo["weights"] = out
+        return block.memo["weights"]
+
+    def partial(self, state, block) -> dict:
+        codes = codes_of(block, state["cuts"])
+        weight = self._weights(state, block)
+        depth = len(state["levels"])
+        done, at = block.memo.get("at", (0, None))
+        if at is None:
+            at = np.repeat(roots(len(weight))[:, None], len(codes), axis=1)
+        for d in range(done, depth):
+            at = descend(at, codes, state["levels"][d])
+        block.memo["at"] = (depth, at)
+        label = np.broadcast_to(block.y, weight.shape)
+        bins = max(len(c) for c in state["cuts"]) + 1
+        return {"hist": histogram(at, codes, weight, label, state["frontier"], bins)}
+
+    def update(self, state, total) -> dict:
+        depth = len(state["levels"])
+        may = np.full(len(state["frontier"]), depth < state["depth"])
+        level = best_splits(
+            total["hist"], state["frontier"], may, self.seed + 1 if self.random_cuts else None
+        )
+        frontier = children(level)
+        return state | {
+            "levels": [*state["levels"], level], "frontier": frontier, "done": not len(frontier),
+        }
+
+    def predict(self, state, block):
+        codes = codes_of(block, state["cuts"])
+        folds = state["slot"].max()
+        owner = np.where(block.fold >= 0, block.fold, folds)
+        wanted = sorted({self.depths[c] for c in state["configs"]})
+        for depth, value in walk(state["levels"], codes, len(state["slot"]), wanted):
+            for c in state["configs"]:
+                if self.depths[c] != depth:
+                    continue
+                for slot in np.unique(owner):
+                    rows = np.nonzero(owner == slot)[0]
+                    members = value[state["slot"] == slot][:, rows].T
+                    # A member whose sample drew no row says nothing.
+                    yield c, rows, [v[~np.isnan(v)] for v in members]
+
+    def importance(self, state):
+        folds = state["slot"].max()
+        members = len(state["slot"])
+        p = len(state["cuts"])
+        for c in state["configs"]:
+            share = np.zeros((members, p))
+            for level in state["levels"][: self.depths[c]]:
+                split = level["feature"] >= 0
+                np.add.at(share, (level["node"][split] >> 32, level["feature"][split]), level["gain"][split])
+            mine = share[state["slot"] == folds]
+            sums = mine.sum(axis=1, keepdims=True)
+            mean = np.divide(mine, sums, out=np.zeros_like(mine), where=sums > 0).mean(axis=0)
+            yield c, mean / mean.sum() if mean.sum() > 0 else mean
+
+
+class Boost:
+    """Gradient boosting with squared loss; one unit per depth, members are folds.
+
+    Configuration ``d * len(rounds) + r`` uses ``depths[d]`` and stops after
+    ``rounds[r]`` trees of the same run.
+    """
+
+    ensemble = False
+
+    def __init__(self, rounds=(100,), depths=(3, 5, 10), rate=0.1, bins=32, seed=0):
+        self.rounds, self.rate, self.bins, self.seed = list(rounds), rate, bins, seed
+        self.depths = [min(d, MAX_DEPTH) for d in depths]
+        self.units = len(self.depths)
+        self.configs = len(self.depths) * len(self.rounds)
+
+    def start(self, info) -> dict:
+        unit, slots = int(info["unit"]), int(info["folds"]) + 1
+        n = len(self.rounds)
+        configs = [int(c) for c in info["configs"] if int(c) // n == unit]
+        return {
+            "unit": unit, "slots": slots, "configs": configs, "base": None, "trees": [], "levels": [],
+            "cuts": [np.asarray(c, dtype=float) for c in info["cuts"]],
+            "rounds": max((self.rounds[c % n] for c in configs), default=0),
+            "frontier": roots(slots), "done": not configs,
+        }
+
+    def _state_of(self, state, block):
+        """(weights, residuals, position) of the rows at the model's current step."""
+        codes = codes_of(block, state["cuts"])
+        memo = block.memo
+        if "weights" not in memo:
+            slot = np.arange(state["slots"])
+            memo["weights"] = np.where(block.fold[None, :] == slot[:, None], 0.0, block.weight[None, :])
+            memo["fit"] = (0, np.repeat(state["base"][:, None], len(codes), axis=1))
+        done, value = memo["fit"]
+        for tree in state["trees"][done:]:
+            value = value + self.rate * self._tree_value(tree, codes, state["slots"])
+            memo.pop("at", None)
+        memo["fit"] = (len(state["trees"]), value)
+        depth = len(state["levels"])
+        seen, at = memo.get("at", (0, None))
+        if at is None:
+            at = np.repeat(roots(state["slots"])[:, None], len(codes), axis=1)
+        for d in range(seen, depth):
+            at = descend(at, codes, state["levels"][d])
+        memo["at"] = (depth, at)
+        return codes, memo["weights"], block.y[None, :] - value, at
+
+    @staticmethod
+    def _tree_value(tree, codes, slots):
+        *_, (_, value) = walk(tree, codes, slots, [len(tree) - 1])
+        return np.nan_to_num(value)
+
+    def partial(self, state, block) -> dict:
+        if state["base"] is None:
+            slot = np.arange(state["slots"])
+            w = np.where(block.fold[None, :] == slot[:, None], 0.0, block.weight[None, :])
+            return {"base": np.stack([w.sum(axis=1), w @ block.y])}
+        codes, weight, label, at = self._state_of(state, block)
+        bins = max(len(c) for c in state["cuts"]) + 1
+        return {"hist": histogram(at, codes, weight, label, state["frontier"], bins)}
+
+    def update(self, state, total) -> dict:
+        if state["base"] is None:
+            w, s = total["base"]
+            return state | {"base": np.divide(s, w, out=np.zeros_like(s), where=w > 0)}
+        depth = len(state["levels"])
+        may = np.full(len(state["frontier"]), depth < self.depths[state["unit"]])
+        level = best_splits(total["hist"], state["frontier"], may, None)
+        levels, frontier = [*state["levels"], level], children(level)
+        if len(frontier):
+            return state | {"levels": levels, "frontier": frontier}
+        trees = [*state["trees"], levels]
+        return state | {
+            "trees": trees, "levels": [], "frontier": roots(state["slots"]),
+            "done": len(trees) >= state["rounds"],
+        }
+
+    def predict(self, state, block):
+        if not state["configs"]:
+            return
+        codes = codes_of(block, state["cuts"])
+        owner = np.where(block.fold >= 0, block.fold, state["slots"] - 1)
+        n, every = len(self.rounds), np.arange(len(codes))
+        value = np.repeat(state["base"][:, None], len(codes), axis=1)
+        for done, tree in enumerate(state["trees"], start=1):
+            value = value + self.rate * self._tree_value(tree, codes, state["slots"])
+            for c in state["configs"]:
+                if self.rounds[c % n] == done:
+                    yield c, every, value[owner, every][:, None]
+
+    def importance(self, state):
+        n, p = len(self.rounds), len(state["cuts"])
+        share = np.zeros(p)
+        for done, tree in enumerate(state["trees"], start=1):
+            for level in tree:
+                mine = (level["feature"] >= 0) & (level["node"] >> 32 == state["slots"] - 1)
+                np.add.at(share, level["feature"][mine], level["gain"][mine])
+            for c in state["configs"]:
+                if self.rounds[c % n] == done:
+                    yield c, share / share.sum() if share.sum() > 0 else share.copy()

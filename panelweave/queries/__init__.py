@@ -1,2 +1,3 @@
-from panelweave.queries import cells, rows  # noqa: F401
+from panelweave.queries import rows  # noqa: F401  (defines inputs that later modules use)
+from panelweave.queries import cells, files  # noqa: F401
 from panelweave.queries.registry import ORACLES, QUERIES  # noqa: F401

@@ -9,6 +9,7 @@ from panelweave.operators import documents as docs
 from panelweave.operators import merge, neighbours, pairs, profile, ranking, rows, scaling, scores, series
 from panelweave.queries import inputs as i
 from panelweave.queries.registry import query
+from panelweave.session import cut
 
 # Parameters of the sparse panel: days 1-30, targets from day 16, so that every
 # target has the full 13 windows of a 15-day slice with lag 3.
@@ -340,15 +341,15 @@ def topk_importance(spark, sf):
 # --- series ---------------------------------------------------------------------
 
 
-@query("select entity, indicator, period, round(value, 6) as value from filled_e", "filled_e")
+@query("select entity, indicator, period, value from filled_e", "filled_e")
 def interpolate_linear(spark, sf):
-    return rounded(series.interpolate_linear(i.panel_e(spark, sf), FIRST, LAST), "value")
+    return series.interpolate_linear(i.panel_e(spark, sf), FIRST, LAST)
 
 
 @query("""select s.entity, s.indicator, cast(g.p as int) as period, round(
   n1.value * (g.p - n2.period) / (n1.period - n2.period) * (g.p - n3.period) / (n1.period - n3.period)
   + n2.value * (g.p - n1.period) / (n2.period - n1.period) * (g.p - n3.period) / (n2.period - n3.period)
-  + n3.value * (g.p - n1.period) / (n3.period - n1.period) * (g.p - n2.period) / (n3.period - n2.period), 4) as value
+  + n3.value * (g.p - n1.period) / (n3.period - n1.period) * (g.p - n2.period) / (n3.period - n2.period), 6) as value
 from (select entity, indicator, min(period) lo, max(period) hi from panel_e group by 1, 2) s
 join generate_series(1, 30) g(p) on g.p between s.lo and s.hi
 join near n1 on n1.entity = s.entity and n1.indicator = s.indicator and n1.p = g.p and n1.rn = 1
@@ -357,7 +358,7 @@ join near n3 on n3.entity = s.entity and n3.indicator = s.indicator and n3.p = g
 where not exists (select 1 from panel_e o where o.entity = s.entity and o.indicator = s.indicator and o.period = g.p)
 union all select entity, indicator, period, value from panel_e""", "panel_e near")
 def interpolate_poly(spark, sf):
-    return rounded(series.interpolate_poly(i.panel_e(spark, sf), FIRST, LAST, 2), "value", places=4)
+    return rounded(series.interpolate_poly(i.panel_e(spark, sf), FIRST, LAST, 2), "value")
 
 
 i.SQL["lags_e"] = """lags_e as (
@@ -366,10 +367,10 @@ i.SQL["lags_e"] = """lags_e as (
 i.NEEDS["lags_e"] = ["filled_e"]
 
 
-@query('select entity, indicator, win as "window", lag, round(value, 6) as value from lags_e', "lags_e")
+@query('select entity, indicator, win as "window", lag, value from lags_e', "lags_e")
 def lag_features(spark, sf):
     filled = series.interpolate_linear(i.panel_e(spark, sf), FIRST, LAST)
-    return rounded(series.lag_features(filled, 3), "value")
+    return series.lag_features(filled, 3)
 
 
 i.SQL["windows_e"] = """windows_e as (
@@ -397,8 +398,8 @@ def recency_weights(spark, sf):
     return series.training_windows(_targets_e(i.panel_e(spark, sf)), first=FIRST)
 
 
-@query("""select f.entity, f.win as "window", f.n_features, f.feature_sum, w.period, w.indicator as target, p.value as y, w.weight
-from (select entity, win, count(*) n_features, round(sum(value), 3) feature_sum from lags_e group by 1, 2) f
+@query("""select f.entity, f.win as "window", f.n_features, f.low, f.high, w.period, w.indicator as target, p.value as y, w.weight
+from (select entity, win, count(*) n_features, min(value) low, max(value) high from lags_e group by 1, 2) f
 join windows_e w on w.win = f.win
 left join panel_e p on p.entity = f.entity and p.period = f.win and p.indicator = w.indicator""",
        "lags_e windows_e")
@@ -406,7 +407,7 @@ def ts_training_frame(spark, sf):
     panel = i.panel_e(spark, sf)
     filled = series.interpolate_linear(panel, FIRST, LAST)
     features = series.lag_features(filled).groupBy("entity", "window").agg(
-        F.count("*").alias("n_features"), F.round(F.sum("value"), 3).alias("feature_sum")
+        F.count("*").alias("n_features"), F.min("value").alias("low"), F.max("value").alias("high")
     )
     windows = series.training_windows(_targets_e(panel), first=FIRST).withColumnRenamed("indicator", "target")
     labels = panel.select("entity", F.col("period").alias("window"), F.col("indicator").alias("target"), F.col("value").alias("y"))
@@ -451,26 +452,26 @@ def _scored(spark, sf):
     return ranking.kfold(train, ["period", "target"], ["entity"], 5)
 
 
-@query("select period, target, round(rmse, 4) as rmse from rmse_l", "panel_l scored_l rmse_l")
+@query("select period, target, round(rmse, 3) as rmse from rmse_l", "panel_l scored_l rmse_l")
 def rmse_folds(spark, sf):
-    return rounded(scores.rmse_over_folds(_scored(spark, sf), ["period", "target"]), "rmse", places=4)
+    return rounded(scores.rmse_over_folds(_scored(spark, sf), ["period", "target"]), "rmse", places=3)
 
 
-@query("""select period, target, round(rmse, 4) as rmse, round(case when rmse / m between 0 and 1 then rmse / m else rmse / s end, 9) as nrmse
+@query("""select period, target, round(rmse, 3) as rmse, round(case when rmse / m between 0 and 1 then rmse / m else rmse / s end, 9) as nrmse
 from rmse_l join (select period, indicator target, avg(value) m, max(value) - min(value) s from panel_l group by 1, 2)
   using (period, target)""", "panel_l scored_l rmse_l")
 def nrmse(spark, sf):
     scored, keys = _scored(spark, sf), ["period", "target"]
     out = scores.normalised_rmse(scores.rmse_over_folds(scored, keys), scores.label_stats(scored, keys), keys)
-    return rounded(rounded(out, "rmse", places=4), "nrmse", places=9)
+    return rounded(rounded(out, "rmse", places=3), "nrmse", places=9)
 
 
-@query("""select period, target, round(quantile_cont(y - prediction, 0.05), 4) as lower,
-  round(quantile_cont(y - prediction, 0.95), 4) as upper from scored_l group by 1, 2""", "panel_l scored_l")
+@query("""select period, target, round(quantile_cont(y - prediction, 0.05), 6) as lower,
+  round(quantile_cont(y - prediction, 0.95), 6) as upper from scored_l group by 1, 2""", "panel_l scored_l")
 def interval_residual_quantile(spark, sf):
     residuals = _scored(spark, sf).withColumn("residual", F.col("y") - F.col("prediction"))
     band = ranking.quantiles(residuals, ["period", "target"], "residual", {"lower": 0.05, "upper": 0.95})
-    return rounded(band, "lower", "upper", places=4)
+    return rounded(band, "lower", "upper")
 
 
 @query("""select p.indicator, p.period, count(*) as n, round(regr_slope(p.value, q.value), 6) as slope,
@@ -519,7 +520,7 @@ def given_results(spark, sf):
     dim = i.dim_of(panel)
     filled = merge.fill_cells(panel, i.pred_given(panel, focus), focus)
     filled = rows.lookup(filled, dim, "indicator", "dataset")
-    importance = rounded(i.importance_given(panel), "value", places=9).withColumnRenamed("target", "indicator")
+    importance = i.importance_given(panel).withColumnRenamed("target", "indicator")
     importance = rows.lookup(importance, dim, "indicator", "dataset")
     return filled, importance, dim
 
@@ -529,7 +530,8 @@ def given_documents(spark, sf):
     categories = rounded(
         merge.category_importance(importance, dim, ["dataset", "indicator", "period"]), "value", places=9
     )
-    return docs.document_cells(filled, importance, categories)
+    out = docs.document_cells(filled, rounded(importance, "value", places=9), categories)
+    return cut(out, "given-documents")
 
 
 @query("select * from docs_l", "docs_l")

@@ -10,6 +10,9 @@ from panelweave.operators.pairs import pair_stats
 from panelweave.queries import inputs as i
 from panelweave.queries.registry import query
 
+i.NEEDS |= {
+    "keyed": ["panel_l"], "targets": ["panel_l"], "large": ["dense_l"], "predictors": ["panel_l"], "sparse": ["panel_e"],
+}
 # Cells with null keys, for the key operators.
 i.SQL["keyed"] = """keyed as (
   select case when period = 1995 then null else entity end entity,

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from urllib.parse import quote
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweave.functions import safe_name
 from panelweave.operators.documents import flatten_documents, nest_documents, upsert_rows
-from panelweave.operators.reshape import column_labels, pivot_panel
+from panelweave.operators.ranking import split_hot
 from panelweave.session import cut
 from panelweave.sources.documents import MODEL_ATTRIBUTES, scan_documents, scan_model_metadata
 from panelweave.sources.results import KINDS
@@ -34,40 +32,65 @@ def write_raw(results: DataFrame, path: str, append: bool = True) -> None:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def write_matrices(filled: DataFrame, importance: DataFrame, root: str) -> None:
+def _quoted(cell: Column) -> Column:
+    needs = cell.rlike('[",]')
+    return F.when(needs, F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(cell)
+
+
+def write_matrices(
+    filled: DataFrame, importance: DataFrame, root: str, rows_per_file: int = 1_000_000
+) -> None:
     """Entity x indicator matrices of values and bounds, and importance lists.
 
-    ``filled(dataset, period, entity, indicator, value, lower, upper)``. Each
-    dataset has its own columns, hence one write per dataset and kind; periods
-    are folders.
+    ``filled(dataset, period, entity, indicator, value, lower, upper)``. Every
+    (dataset, period) has its own columns, so lines are built as text and all
+    matrices of a kind are written by one job. A matrix of many entities is
+    split over files, each with the header first.
     """
+    key = ["dataset", "period"]
     filled = cut(filled, "matrices")
-    for dataset in column_labels(filled, "dataset"):
-        mine = filled.where(F.col("dataset") == dataset)
-        columns = column_labels(mine, "indicator")
-        for kind, value in (("predictions", "value"), ("lower", "lower"), ("upper", "upper")):
-            matrix = pivot_panel(mine, ["entity", "period"], columns, value=value)
-            (
-                matrix.withColumnRenamed("entity", "Country Code")
-                .write.mode("overwrite").partitionBy("period").option("header", True)
-                .csv(f"{root}/{KINDS[kind][0]}/dataset={quote(dataset, safe='')}")
-            )
-    listed = cut(
+    headers = filled.groupBy(*key).agg(F.sort_array(F.collect_set("indicator")).alias("names"))
+    records = filled.groupBy(*key, "entity").agg(
+        F.map_from_entries(
+            F.collect_list(F.struct("indicator", F.struct("value", "lower", "upper")))
+        ).alias("cells")
+    )
+    records = cut(split_hot(records, key, ["entity"], rows_per_file).join(headers, key), "records")
+    slices = records.select(*key, "salt", "names").dropDuplicates([*key, "salt"])
+
+    def line(first: Column, second: Column, cells: Column) -> Column:
+        return F.concat_ws(",", _quoted(first), second, F.array_join(cells, ","))
+
+    head = line(F.lit("Country Code"), F.lit("year"), F.transform("names", _quoted))
+    for kind, field in (("predictions", "value"), ("lower", "lower"), ("upper", "upper")):
+        body = line(
+            F.col("entity").cast("string"),
+            F.col("period").cast("string"),
+            F.transform("names", lambda n: F.coalesce(
+                F.try_element_at("cells", n)[field].cast("string"), F.lit("")  # noqa: B023
+            )),
+        )
+        lines = slices.select(*key, "salt", F.lit(0).alias("is_row"), head.alias("line")).unionByName(
+            records.select(*key, "salt", F.lit(1).alias("is_row"), body.alias("line"))
+        )
+        (
+            lines.repartition(*key, "salt")
+            .sortWithinPartitions(*key, "salt", "is_row")
+            .select(*key, "line")
+            .write.mode("overwrite").partitionBy(*key)
+            .text(f"{root}/{KINDS[kind][0]}")
+        )
+    (
         importance.select(
-            "dataset",
-            "period",
+            *key,
             F.col("target").alias("predicted indicator"),
             F.col("feature").alias("feature indicator"),
             F.col("value").alias("feature importance"),
-        ),
-        "importances",
-    )
-    for dataset in column_labels(listed, "dataset"):
-        (
-            listed.where(F.col("dataset") == dataset).drop("dataset")
-            .write.mode("overwrite").partitionBy("period").option("header", True)
-            .csv(f"{root}/{KINDS['importance'][0]}/dataset={quote(dataset, safe='')}")
         )
+        .repartition(*key)
+        .write.mode("overwrite").partitionBy(*key).option("header", True)
+        .csv(f"{root}/{KINDS['importance'][0]}")
+    )
 
 
 def write_documents(rows: DataFrame, root: str, model: str, mode: str = "new") -> None:

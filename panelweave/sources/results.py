@@ -18,6 +18,8 @@ KINDS = {
 }
 # Columns of a stored matrix that are not indicators.
 ID_COLUMNS = ("", "Country Code", "year", "Unnamed: 0", "Unnamed: 1")
+# Stored matrices are CSV files; the sink's lines are CSV in text files.
+FILES = "*.{csv,txt}"
 _COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
@@ -46,7 +48,7 @@ def _records(spark: SparkSession, folder: str, marker: str) -> DataFrame:
     dataset, period = result_keys(F.col("file"))
     lines = (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", FILES)
         .text(folder)
         .select(
             F.col("_metadata.file_path").alias("file"),
@@ -56,7 +58,6 @@ def _records(spark: SparkSession, folder: str, marker: str) -> DataFrame:
         )
     )
     is_header = F.array_contains("cells", marker)
-    # A file written in parts repeats its header in each; one is enough.
     headers = lines.where(is_header).groupBy("file").agg(F.first("cells").alias("names"))
     return (
         lines.where(~is_header)
@@ -103,7 +104,7 @@ def scan_result_dir(spark: SparkSession, root: str) -> DataFrame:
     folder, _ = KINDS["predictions"]
     return (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", FILES)
         .format("binaryFile")
         .load(f"{root}/{folder}")
         .select(F.col("path").alias("file"))
