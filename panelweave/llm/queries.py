@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from panelweave.llm.mixing import op3_mixing
 from panelweave.llm.simhash import op10_simhash
 from panelweave.llm.substring import op1_substring_dedup
 
-QUERIES = {fn.__name__: fn for fn in (op1_substring_dedup, op10_simhash)}
+QUERIES = {fn.__name__: fn for fn in (op1_substring_dedup, op3_mixing, op10_simhash)}
 ORACLES: dict[str, str] = {}
