@@ -52,16 +52,26 @@ def run_name(prefix: str) -> str:
 
 
 class Memo(dict):
-    """word -> value by a function; forgets everything once it is full, so its memory is bounded."""
+    """word -> value by a function, in two generations of at most ``most`` words each.
 
-    def __init__(self, fn, most: int = 400_000):
+    Words used since the last change of generation are kept, so frequent ones
+    stay and memory is bounded; words above ``longest`` are not remembered.
+    """
+
+    def __init__(self, fn, most: int = 250_000, longest: int = 256):
         super().__init__()
-        self.fn, self.most = fn, most
+        self.fn, self.most, self.longest, self.old = fn, most, longest, {}
 
     def __missing__(self, word):
+        value = self.old.get(word)
+        if value is None:
+            value = self.fn(word)
+        if len(word) > self.longest:
+            return value
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[word] = self.fn(word)
+        self[word] = value
         return value
 
 
