@@ -31,9 +31,11 @@ from panelweave.llm.common import Memo, table, utf8, words_of, written
 
 WINDOW = 50
 #: Words that are hashed together, and the bits that number them behind a hash.
-CHUNK, BITS = 1 << 21, 22
+CHUNK, BITS = 1 << 20, 21
 #: Bytes of text for each partition of the hashes.
-PART_BYTES = 16 << 20
+PART_BYTES = 12 << 20
+#: Word hashes that a task remembers.
+MEMO = 150_000
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 LAST = np.iinfo(np.int64).max
 
@@ -145,7 +147,7 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
     mask = np.uint64((1 << BITS) - 1)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, rolling = Memo(xxhash.xxh3_64_intdigest), Rolling(BASES[0], 1 << BITS)
+        memo, rolling = Memo(xxhash.xxh3_64_intdigest, MEMO), Rolling(BASES[0], 1 << BITS)
         for turn, items in enumerate(_chunks(batches, memo, window - 1)):
             lens = np.array([len(x[2]) for x in items], np.int64)
             off = np.cumsum(lens) - lens
@@ -181,7 +183,7 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
             keys, high = keys[doc <= least], high[doc <= least]
             part = (high * np.uint64(parts)) >> np.uint64(64 - BITS)
             cuts = np.searchsorted(part, np.arange(parts + 1))
-            table_ = ids.tobytes(), first.tobytes(), off.tobytes()
+            table_ = ids.tobytes(), first.tobytes() if first.any() else b"", off.astype(np.int32).tobytes()
             for p in np.flatnonzero(np.diff(cuts)).tolist():
                 rows.append(_blob(p, keys[cuts[p] : cuts[p + 1]].tobytes(), b"", table_[1], table_[2], table_[0]))
             yield _emit(rows)
@@ -193,8 +195,9 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
         for keys, first, off, ids in zip(
             *(rows[c].to_pylist() for c in ("keys", "doc", "pos", "docs"))
         ):
-            keys, first = np.frombuffer(keys, np.uint64), np.frombuffer(first, np.int64)
-            off, ids = np.frombuffer(off, np.int64), np.frombuffer(ids, np.int64)
+            keys, off = np.frombuffer(keys, np.uint64), np.frombuffer(off, np.int32)
+            ids, first = np.frombuffer(ids, np.int64), np.frombuffer(first, np.int64)
+            first = first if len(first) else np.zeros(len(ids), np.int64)
             at = (keys & mask).astype(np.int64)
             piece = np.searchsorted(off, at, "right") - 1
             highs.append(keys >> np.uint64(BITS))
@@ -219,7 +222,7 @@ def repeated_windows(docs: DataFrame, window: int, parts: int) -> DataFrame:
     block = window // 2
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, turn = Memo(xxhash.xxh3_64_intdigest), 0
+        memo, turn = Memo(xxhash.xxh3_64_intdigest, MEMO), 0
         rolls = [Rolling(b, CHUNK) for b in BASES]
         held: list[tuple] = []
         total = 0
