@@ -102,8 +102,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], memo: Memo, overlap: int):
             if doc is None:
                 continue
             hashes = word_hashes(text, memo)
-            for start in range(0, max(1, len(hashes) - overlap), CHUNK):
-                part = hashes[start : start + CHUNK + overlap]
+            for start in range(0, max(1, len(hashes) - overlap), CHUNK // 2):
+                part = hashes[start : start + CHUNK // 2 + overlap]
                 items.append((doc, start, part))
                 total += len(part)
                 if total >= CHUNK:
@@ -157,7 +157,7 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
             hashes = rolling(np.concatenate([x[2] for x in items]), block)
             at = np.arange(len(hashes))
             within = at - off[piece[: len(hashes)]]
-            at = at[(within <= (lens - block)[piece[: len(hashes)]]) & (within < CHUNK + block)]
+            at = at[within <= (lens - block)[piece[: len(hashes)]]]
             keys = (hashes[at] & ~mask) | at.astype(np.uint64)
             keys.sort()
             if not len(keys):
