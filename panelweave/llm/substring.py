@@ -31,7 +31,7 @@ from panelweave.llm.common import Memo, table, utf8, words_of, written
 
 WINDOW = 50
 #: Words that are hashed together, and the bits that number them behind a hash.
-CHUNK, BITS = 1 << 20, 21
+CHUNK, BITS = 1 << 19, 20
 #: Bytes of text for each partition of the hashes.
 PART_BYTES = 12 << 20
 #: Word hashes that a task remembers.
@@ -72,18 +72,37 @@ def word_hashes(text: bytes | None, memo: Memo) -> np.ndarray:
     return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
 
-def _by_doc(doc: np.ndarray, pos: np.ndarray) -> list[pa.Array]:
-    """One row for each document: its id and its positions as 32-bit numbers."""
-    if not len(doc):
-        return [pa.array([], pa.int64()), pa.array([], pa.binary())]
-    order = np.argsort(doc, kind="stable")
-    doc, pos = doc[order], np.ascontiguousarray(pos[order], np.uint32)
-    starts = np.concatenate(([0], 1 + np.flatnonzero(np.diff(doc))))
-    ends = np.append(starts, len(doc)).astype(np.int32) * 4
-    packed = pa.Array.from_buffers(
-        pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(pos)]
-    )
-    return [pa.array(doc[starts]), packed]
+def _by_bucket(doc: np.ndarray, pos: np.ndarray, buckets: int) -> pa.Table:
+    """Places as packed arrays, a row for each bucket of documents."""
+    mixed = doc.view(np.uint64) * np.uint64(BASES[0])
+    bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, doc, pos = bucket[order], doc[order], pos[order].astype(np.uint32)
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+    full = np.flatnonzero(np.diff(cuts)).tolist()
+    cut = lambda x: pa.array([x[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary())
+    return pa.table({"bucket": pa.array(full, pa.int64()), "ids": cut(doc), "pos": cut(pos)})
+
+
+PLACES = "bucket long, ids binary, pos binary"
+
+
+def gathered(places: DataFrame) -> DataFrame:
+    """(id, hits): one row for each document of packed places, ``hits`` an array of 32-bit numbers."""
+
+    def regroup(rows: pa.Table) -> pa.Table:
+        doc = np.concatenate([np.frombuffer(b, np.int64) for b in rows["ids"].to_pylist()])
+        pos = np.concatenate([np.frombuffer(b, np.uint32) for b in rows["pos"].to_pylist()])
+        order = np.argsort(doc, kind="stable")
+        doc, pos = doc[order], np.ascontiguousarray(pos[order])
+        starts = np.concatenate(([0], 1 + np.flatnonzero(np.diff(doc))))
+        ends = np.append(starts, len(doc)).astype(np.int32) * 4
+        packed = pa.Array.from_buffers(
+            pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(pos)]
+        )
+        return pa.table({"id": pa.array(doc[starts]), "hits": packed})
+
+    return places.groupBy("bucket").applyInArrow(regroup, "id long, hits binary")
 
 
 def _narrow(x: np.ndarray) -> bytes:
@@ -118,7 +137,6 @@ def _starts(docs: DataFrame) -> int:
     return 1 + size // PART_BYTES
 
 
-HITS = "id long, hits binary"
 BLOBS = "part long, keys binary, second binary, doc binary, pos binary, docs binary"
 
 
@@ -134,15 +152,15 @@ def _emit(rows: list[list]) -> pa.RecordBatch:
     )
 
 
-def _settled(rows: pa.Table) -> pa.Table:
+def _settled(rows: pa.Table, buckets: int) -> pa.Table:
     """What a task decided by itself, which only passes through."""
     doc = np.concatenate([np.frombuffer(b, np.int64) for b in rows["docs"].to_pylist()])
     pos = np.concatenate([np.frombuffer(b, np.uint32) for b in rows["pos"].to_pylist()])
-    return pa.table(_by_doc(doc, pos), names=["id", "hits"])
+    return _by_bucket(doc, pos, buckets)
 
 
 def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
-    """(id, hits): where runs of half a window stand that another document's block repeats."""
+    """Packed places where runs of half a window stand that another document's block repeats."""
     block = window // 2
     mask = np.uint64((1 << BITS) - 1)
 
@@ -190,7 +208,7 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
 
     def settle(key: tuple, rows: pa.Table) -> pa.Table:
         if key[0].as_py() >= parts:
-            return _settled(rows)
+            return _settled(rows, parts)
         highs, docs_, poss = [], [], []
         for keys, first, off, ids in zip(
             *(rows[c].to_pylist() for c in ("keys", "doc", "pos", "docs"))
@@ -212,13 +230,13 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
         least = np.minimum.reduceat(np.where(aligned, doc, LAST), starts)[group]
         most = np.maximum.reduceat(doc, starts)[group]
         hit = (doc > least) | (aligned & (doc < most))
-        return pa.table(_by_doc(doc[hit], pos[hit]), names=["id", "hits"])
+        return _by_bucket(doc[hit], pos[hit], parts)
 
-    return docs.mapInArrow(probe, BLOBS).groupBy("part").applyInArrow(settle, HITS)
+    return docs.mapInArrow(probe, BLOBS).groupBy("part").applyInArrow(settle, PLACES)
 
 
 def repeated_windows(docs: DataFrame, window: int, parts: int) -> DataFrame:
-    """(id, hits): starts of windows that also start in a smaller document, from (id, text, hits)."""
+    """Packed starts of windows that also start in a smaller document, from (id, text, hits)."""
     block = window // 2
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,10 +281,9 @@ def repeated_windows(docs: DataFrame, window: int, parts: int) -> DataFrame:
             ):
                 hashes = word_hashes(text, memo)
                 near = np.zeros(max(0, len(hashes) - window + 1) + 1, np.int64)
-                for h in hits:
-                    p = np.frombuffer(h, np.uint32).astype(np.int64)
-                    np.add.at(near, np.clip(p - (window - block), 0, len(near) - 1), 1)
-                    np.add.at(near, np.clip(p + 1, 0, len(near) - 1), -1)
+                p = np.frombuffer(hits, np.uint32).astype(np.int64)
+                np.add.at(near, np.clip(p - (window - block), 0, len(near) - 1), 1)
+                np.add.at(near, np.clip(p + 1, 0, len(near) - 1), -1)
                 starts = np.flatnonzero(np.cumsum(near)[:-1] > 0)
                 for at in range(0, len(hashes) if len(starts) else 0, CHUNK - window):
                     part = hashes[at : at + CHUNK]
@@ -283,7 +300,7 @@ def repeated_windows(docs: DataFrame, window: int, parts: int) -> DataFrame:
 
     def settle(key: tuple, rows: pa.Table) -> pa.Table:
         if key[0].as_py() >= parts:
-            return _settled(rows)
+            return _settled(rows, parts)
         ones, twos, docs_, poss = [], [], [], []
         for one, two, index, pos, ids in zip(
             *(rows[c].to_pylist() for c in ("keys", "second", "doc", "pos", "docs"))
@@ -297,9 +314,9 @@ def repeated_windows(docs: DataFrame, window: int, parts: int) -> DataFrame:
         doc, pos, one, two = doc[order], pos[order], one[order], two[order]
         heads = np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
         again = doc > doc[np.flatnonzero(heads)][np.cumsum(heads) - 1]
-        return pa.table(_by_doc(doc[again], pos[again]), names=["id", "hits"])
+        return _by_bucket(doc[again], pos[again], parts)
 
-    return docs.mapInArrow(probe, BLOBS).groupBy("part").applyInArrow(settle, HITS)
+    return docs.mapInArrow(probe, BLOBS).groupBy("part").applyInArrow(settle, PLACES)
 
 
 def repeats(
@@ -310,28 +327,25 @@ def repeats(
     A window is repeated if its word sequence also starts in a document with a
     smaller id. Windows are judged on the given texts. Rows without an id or
     without words repeat nothing; rows that repeat an id are to repeat its text,
-    and are no repeats of each other. ``hits`` is a list of arrays of 32-bit
-    numbers. Other columns of ``docs`` are not read.
+    and are no repeats of each other. ``hits`` is an array of 32-bit numbers. Other columns of ``docs`` are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     parts = _starts(docs)
-    gathered = lambda hits: hits.groupBy("id").agg(F.collect_list("hits").alias("hits"))
     near = written(gathered(block_hits(docs, window, parts)), "substring-blocks")
     again = repeated_windows(docs.join(near, "id").select("id", "text", "hits"), window, parts)
     return written(gathered(again), "substring-windows")
 
 
-def covered(n: int, hits: list[bytes] | None, window: int) -> np.ndarray:
+def covered(n: int, hits: bytes, window: int) -> np.ndarray:
     """Which of ``n`` words a repeated window covers."""
     marks = np.zeros(n + 1, np.int64)
-    for h in hits if hits is not None else []:
-        at = np.frombuffer(h, np.uint32).astype(np.int64)
-        np.add.at(marks, at, 1)
-        np.add.at(marks, np.minimum(at + window, n), -1)
+    at = np.frombuffer(hits, np.uint32).astype(np.int64)
+    np.add.at(marks, at, 1)
+    np.add.at(marks, np.minimum(at + window, n), -1)
     return np.cumsum(marks)[:-1] > 0
 
 
-def kept_text(text: str, hits: list[bytes], window: int) -> str:
+def kept_text(text: str, hits: bytes, window: int) -> str:
     """``text`` without its covered words; what is left keeps its own white space."""
     raw = text.encode()
     spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
