@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from panelweave.llm.common import Memo, table
 
@@ -270,12 +271,10 @@ def _ids_of(encoder: Encoder):
 
 
 def _with(docs: DataFrame, source: str, target: str, kind: str, make) -> DataFrame:
-    from pyspark.sql.types import StructType
-
     columns = [c for c in docs.columns if c != target]
     at = columns.index(source)
     fields = [docs.schema[c] for c in columns]
-    schema = StructType(fields).add(target, kind)
+    schema = StructType([*fields, StructField(target, DataType.fromDDL(kind))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         convert = make()
@@ -314,6 +313,28 @@ def digest(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
     return rows.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
+    """``docs`` with n_tokens, token_ids and the SHA-256 of the text decoded from them in place of the text."""
+
+    def sha(decoder: Decoder):
+        def run(column: pa.Array) -> pa.Array:
+            ends = column.offsets.to_numpy() * 4
+            raw = column.values.to_numpy().astype("<u4").tobytes()
+            found = []
+            for a, b in zip(ends.tolist(), ends[1:].tolist()):
+                decoded = hashlib.sha256()
+                for part in decoder.stream(raw[a:b]):
+                    decoded.update(part.encode())
+                found.append(decoded.hexdigest())
+            return pa.array(found, pa.string())
+
+        return run
+
+    ids = encode(docs, vocabulary, text_col).drop(text_col)
+    out = _with(ids, "token_ids", "decoded_sha256", "string", lambda v=vocabulary: sha(Decoder(v)))
+    return out.withColumn("n_tokens", F.size("token_ids").cast("long"))
+
+
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     vocabulary = Vocabulary(vocabulary_path())
     return digest(table(spark, sf, "documents"), vocabulary).withColumnRenamed("id", "doc_id")

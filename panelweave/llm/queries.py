@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from panelweave.llm.bpe import op5_bpe
 from panelweave.llm.mixing import op3_mixing
+from panelweave.llm.quality import op6_quality
 from panelweave.llm.simhash import op10_simhash
 from panelweave.llm.substring import op1_substring_dedup
 
-QUERIES = {fn.__name__: fn for fn in (op1_substring_dedup, op3_mixing, op5_bpe, op10_simhash)}
+QUERIES = {fn.__name__: fn for fn in (op1_substring_dedup, op3_mixing, op5_bpe, op6_quality, op10_simhash)}
 ORACLES: dict[str, str] = {}
