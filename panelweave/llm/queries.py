@@ -7,6 +7,8 @@ from panelweave.llm.mixing import op3_mixing
 from panelweave.llm.quality import op6_quality
 from panelweave.llm.simhash import op10_simhash
 from panelweave.llm.substring import op1_substring_dedup
+from panelweave.llm.urls import SQL as URL_SQL
+from panelweave.llm.urls import op7_url_filter
 
-QUERIES = {fn.__name__: fn for fn in (op1_substring_dedup, op3_mixing, op5_bpe, op6_quality, op10_simhash)}
-ORACLES: dict[str, str] = {}
+QUERIES = {fn.__name__: fn for fn in (op1_substring_dedup, op3_mixing, op5_bpe, op6_quality, op7_url_filter, op10_simhash)}
+ORACLES: dict[str, str] = {"op7_url_filter": URL_SQL}
