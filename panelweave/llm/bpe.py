@@ -121,14 +121,30 @@ class Encoder:
         pattern = PIECES.replace(r"[^\s\p{L}\p{N}]", rf"(?:[^\s\p{{L}}\p{{N}}]|[{newer}])")
         pattern = pattern.replace(r"\p{L}+|", rf"[\p{{L}}--[{newer}]]+|").replace(r"\p{N}+|", rf"[\p{{N}}--[{newer}]]+|")
         self.pieces = regex.compile("(?V1)" + pattern)
+        self.twice = regex.compile(r"\s\s")
         self.edge = regex.compile(r"(?<=\S)\s")
         found = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, found)) + ")") if found else None
-        self.memo = Memo(self._piece)
+        self.memo = Memo(self._piece, 200_000)
+        #: The same for whole words behind a space, and behind a line end.
+        self.spaced = Memo(lambda word: self._parted(" " + word), 400_000)
+        self.lined = Memo(lambda word: self._parted("\n" + word), 50_000)
 
     def _parted(self, text: str) -> bytes:
         return b"".join(map(self.memo.__getitem__, self.pieces.findall(text)))
 
+    def _words(self, text: str) -> Iterator[bytes]:
+        """No piece reaches from a sign into the white space behind it. Where no two white
+        spaces meet, a text is therefore parted word by word, each with the one before it."""
+        if self.twice.search(text):
+            yield self._parted(text)
+            return
+        spaced = self.spaced.__getitem__
+        for k, line in enumerate(text.split("\n")):
+            first, *rest = line.split(" ")
+            yield self.lined[first] if k else self._parted(first)
+            yield b"".join(map(spaced, rest))
+
     def _piece(self, piece: str) -> bytes:
         if len(piece) <= BUFFER:
             return array("I", self._merge(piece.encode())).tobytes()
@@ -213,7 +229,7 @@ class Encoder:
                 out.append(array("I", [self.special[part]]).tobytes())
                 continue
             for some in self._slices(part):
-                out.append(self._parted(some))
+                out.extend(self._words(some))
         return b"".join(out)
 
 
