@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from panelweave.llm.bpe import op5_bpe
+from panelweave.llm.embeddings import op4_embeddings
 from panelweave.llm.mixing import op3_mixing
 from panelweave.llm.quality import op6_quality
 from panelweave.llm.simhash import op10_simhash
@@ -13,5 +14,5 @@ from panelweave.llm.urls import op7_url_filter
 from panelweave.llm.warc import SQL as WARC_SQL
 from panelweave.llm.warc import op2_warc
 
-QUERIES = {fn.__name__: fn for fn in (op1_substring_dedup, op2_warc, op3_mixing, op5_bpe, op6_quality, op7_url_filter, op9_spotsigs, op10_simhash)}
+QUERIES = {fn.__name__: fn for fn in (op1_substring_dedup, op2_warc, op3_mixing, op4_embeddings, op5_bpe, op6_quality, op7_url_filter, op9_spotsigs, op10_simhash)}
 ORACLES: dict[str, str] = {"op2_warc": WARC_SQL, "op7_url_filter": URL_SQL}
