@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -51,6 +52,14 @@ def run_name(prefix: str) -> str:
     return f"{prefix}-{uuid.uuid4().hex[:12]}"
 
 
+def release() -> None:
+    """Gives memory that a task has freed back to the machine, before its worker takes the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class Memo(dict):
     """word -> value by a function, in two generations of at most ``most`` words each.
 

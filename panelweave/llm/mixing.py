@@ -265,7 +265,7 @@ def mixed_docs(
     rows = written(rows, "mix-sizes")
     drawn = (
         draws(rows, plan(rows), **options)
-        .groupBy(F.col("row").alias("__row"), "turn")
+        .groupBy(F.col("row").alias("__row"), F.col("turn").alias("__turn"))
         .agg(F.sum("words").alias("__words"), F.collect_list(F.struct("block", "words")).alias("__blocks"))
     )
 

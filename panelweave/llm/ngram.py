@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import Memo, table, utf8, words_of, written
+from panelweave.llm.common import Memo, release, table, utf8, words_of, written
 from panelweave.llm.elias_fano import EliasFano, load, save
 from panelweave.session import new_path
 
@@ -300,6 +300,7 @@ def scores(
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in out], pa.int64() if not k else pa.binary()) for k in range(7)], names=names
             )
+        release()
 
     def settle(key: tuple, blobs: pa.Table) -> pa.Table:
         part = key[0].as_py()

@@ -10,22 +10,28 @@ Rows of a table of judgements, where there is one, are one more labeller.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
+from operator import eq
+from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import Memo, table, written
+from panelweave.llm.common import Memo, release, table, written
 
 GOOD, BAD, NONE = 0, 1, 2
 #: Weights of the scorer, passes over the sample, step size, and rows of the sample at most.
-WIDTH, PASSES, STEP, SAMPLE = 1 << 18, 8, 1.0, 20_000
+WIDTH, PASSES, STEP, SAMPLE = 1 << 18, 8, 1.0, 10_000
 #: Rows of the sample in which a feature must be seen.
 SEEN = 3
+#: Weights nearer to zero are left out.
+LEAST = 2e-3
 ROUNDS, PRIOR = 50, 20.0
 BEGINNINGS = (4, 5, 6, 7)
 #: Common words of English, French, Spanish and German, and English insults.
@@ -40,38 +46,31 @@ INSULTS = frozenset(
 )
 
 
-def _word(token: str) -> tuple[int, int, int, str, bool, bool]:
-    """Letters, capitals, odd signs, the bare word, whether it is common or an insult."""
-    letters = sum(map(str.isalpha, token))
-    capitals = sum(map(str.isupper, token))
-    odd = sum(c in "#$%&*@^~|<>{}[]\\=+_!" for c in token)
-    core = token.strip("#$%&*@^~|<>{}[]\\=+_!.,;:?\"'()-").lower()
-    return letters, capitals, odd, core, core in COMMON, core in INSULTS
+EDGE = b"#$%&*@^~|<>{}[]\\=+_!.,;:?\"'()-"
+#: Bytes to strike out so that letters, capitals and odd signs are left; a letter beyond ASCII counts by its first byte.
+NO_LETTER = bytes(b for b in range(256) if not (chr(b).isascii() and chr(b).isalpha() or b >= 0xC0))
+NO_CAPITAL = bytes(b for b in range(256) if not 65 <= b <= 90)
+NO_ODD = bytes(b for b in range(256) if b not in b"#$%&*@^~|<>{}[]\\=+_!")
+COMMON_BYTES = frozenset(w.encode() for w in COMMON)
+INSULT_BYTES = {w.encode(): re.compile(rb"\b" + w.encode() + rb"\b") for w in sorted(INSULTS)}
 
 
 class Shape:
     """What the labellers and the scorer look at in one text."""
 
-    def __init__(self, text: str | None, memo: Memo):
-        tokens = (text or "").split()
-        counts = Counter(tokens)
+    def __init__(self, text: str | None):
+        raw, low = (text or "").encode(), (text or "").lower().encode()
+        tokens = low.split()
+        self.tokens = counts = Counter(tokens)
         self.n = n = len(tokens)
-        letters = capitals = odd = common = 0
-        self.insults, self.cores = 0, set()
-        for token, k in counts.items():
-            a, b, c, core, often, insult = memo[token]
-            letters += a * k
-            capitals += b * k
-            odd += c * k
-            common += often * k
-            self.insults += insult
-            self.cores.add(core)
-        lines = [line for line in (text or "").split("\n") if line.strip()]
-        pairs = sum(a == b for a, b in zip(tokens, tokens[1:]))
+        letters, capitals, odd = (len(raw.translate(None, no)) for no in (NO_LETTER, NO_CAPITAL, NO_ODD))
+        self.insults = sum(len(whole.findall(low)) for w, whole in INSULT_BYTES.items() if w in low)
+        lines = [line for line in raw.split(b"\n") if line.strip()]
+        pairs = sum(map(eq, tokens, islice(tokens, 1, None)))
         self.capitals = capitals / max(1, letters)
         self.odd = odd / max(1, letters + odd)
-        self.bars = counts["|"] / max(1, n)
-        self.common = common / max(1, n)
+        self.bars = counts[b"|"] / max(1, n)
+        self.common = sum(counts[w] for w in COMMON_BYTES & counts.keys()) / max(1, n)
         self.same_next = pairs / max(1, n - 1)
         self.same_line = 1 - len(set(lines)) / len(lines) if lines else 0.0
         self.distinct = len(counts) / max(1, n)
@@ -85,28 +84,30 @@ class Shape:
         return out
 
 
-def _between(value: float, good: float, bad: float) -> int:
-    """Good up to one bound, bad from the other on, no vote between; bounds may fall."""
-    low = good <= bad
-    if value >= bad if low else value <= bad:
-        return BAD
-    return GOOD if (value <= good if low else value >= good) else NONE
+def _bad_if(found: bool) -> int:
+    return BAD if found else NONE
+
+
+def _clean(s: Shape) -> int:
+    fine = s.capitals < 0.1 and s.odd < 0.02 and s.bars < 0.01 and s.same_next < 0.05 and s.same_line < 0.1
+    return GOOD if fine and (s.n < 50 or s.distinct > 0.25) else NONE
 
 
 LABELLERS = {
     "low": {
-        "capitals": lambda s: _between(s.capitals, 0.1, 0.25),
-        "signs": lambda s: _between(s.odd, 0.02, 0.06),
-        "bars": lambda s: _between(s.bars, 0.01, 0.08),
-        "common words": lambda s: NONE if s.n < 20 else _between(s.common, 0.12, 0.04),
-        "same word again": lambda s: _between(s.same_next, 0.03, 0.2),
-        "same line again": lambda s: _between(s.same_line, 0.1, 0.4),
-        "few words": lambda s: NONE if s.n < 50 else _between(s.distinct, 0.3, 0.15),
+        "capitals": lambda s: _bad_if(s.n > 10 and s.capitals > 0.25),
+        "signs": lambda s: _bad_if(s.odd > 0.06),
+        "bars": lambda s: _bad_if(s.bars > 0.08),
+        "no common words": lambda s: _bad_if(s.n > 20 and s.common < 0.04),
+        "same word again": lambda s: _bad_if(s.n > 20 and s.same_next > 0.2),
+        "same line again": lambda s: _bad_if(s.same_line > 0.4),
+        "few words": lambda s: _bad_if(s.n > 50 and s.distinct < 0.15),
+        "clean": _clean,
     },
     "toxic": {
-        "an insult": lambda s: BAD if s.insults else NONE,
-        "insults": lambda s: BAD if s.insults > 1 else GOOD if not s.insults else NONE,
-        "shouted insult": lambda s: BAD if s.insults and s.capitals > 0.25 else NONE,
+        "an insult": lambda s: _bad_if(s.insults == 1),
+        "insults": lambda s: _bad_if(s.insults > 1),
+        "no insult": lambda s: GOOD if not s.insults else NONE,
     },
 }
 HEADS = tuple(LABELLERS)
@@ -115,30 +116,37 @@ LIMITS = {"low": 0.5, "toxic": 0.3}
 
 
 def _slot(feature: str) -> int:
-    return xxhash.xxh3_64_intdigest(feature.encode()) & (WIDTH - 1)
+    return crc32(feature.encode()) & (WIDTH - 1)
 
 
-def _slots(core: str) -> tuple[int, ...]:
-    return (_slot("= " + core), *(_slot("^ " + core[:k]) for k in BEGINNINGS if len(core) >= k))
+def _slots(token: bytes) -> tuple[int, ...]:
+    """Slots of the bare word and of its beginnings, in bytes, by one running checksum."""
+    core = token.strip(EDGE)
+    out, at, running = [crc32(core, 1) & (WIDTH - 1)], 0, 2
+    for k in BEGINNINGS:
+        if len(core) >= k:
+            running = crc32(core[at:k], running)
+            out.append(running & (WIDTH - 1))
+            at = k
+    return tuple(out)
 
 
 def features(shape: Shape, memo: Memo) -> np.ndarray:
-    """Slots of the features a text has, each once."""
+    """Slots of the features a text has, each once; ``memo`` gives a token's."""
     found: set[int] = set()
-    found.update(*map(memo.__getitem__, shape.cores))
+    found.update(*map(memo.__getitem__, shape.tokens))
     found.update(map(_slot, shape.bins()))
-    return np.fromiter(found, np.int64, len(found))
+    return np.fromiter(found, np.int32, len(found))
 
 
 def votes(docs: DataFrame, id_col: str, text_col: str, judged: DataFrame | None) -> DataFrame:
     """(id, low, toxic): the votes on each row as a string with a digit for each labeller, the judged last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(_word)
         for batch in batches:
             out: dict[str, list[str]] = {h: [] for h in HEADS}
             for text in batch.column(1).to_pylist():
-                shape = Shape(text, memo)
+                shape = Shape(text)
                 for head in HEADS:
                     out[head].append("".join(str(vote(shape)) for vote in LABELLERS[head].values()))
             yield pa.RecordBatch.from_arrays(
@@ -158,48 +166,49 @@ def votes(docs: DataFrame, id_col: str, text_col: str, judged: DataFrame | None)
 
 
 class LabelModel:
-    """Accuracies of independent labellers by expectation maximisation.
+    """How often independent labellers vote bad and good on bad and on good documents, by expectation maximisation.
 
     ``patterns`` are the vote patterns with their counts over all documents, at
-    most three to the power of the labellers, whatever the corpus. Each labeller
-    starts as right in four of five votes, the judged in 999 of 1000; that prior
-    counts as ``PRIOR`` documents, and for the judged as all of them.
+    most three to the power of the labellers, whatever the corpus. Not to vote
+    says nothing. Labellers start as ten times likelier to be right than wrong,
+    the judged, who come last, as ten thousand times; that start counts as
+    ``PRIOR`` documents of each kind, and for the judged as all of them.
     """
 
     def __init__(self, patterns: dict[str, int]):
         seen = sorted(patterns)
-        cast = np.array([[int(c) for c in p] for p in seen], np.int64).reshape(len(seen), -1)
-        n = np.array([patterns[p] for p in seen], float)
+        self.cast = cast = np.array([[int(c) for c in p] for p in seen], np.int64).reshape(len(seen), -1)
+        self.n = n = np.array([patterns[p] for p in seen], float)
         sources = cast.shape[1]
-        right = np.full(sources, 0.8)
-        right[-1:] = 0.999
         weight = np.full(sources, PRIOR)
         weight[-1:] = max(PRIOR, n.sum())
-        # rates[class, labeller, vote], abstaining apart from being right
-        self.rates = np.zeros((2, sources, 2))
-        for k in (GOOD, BAD):
-            self.rates[k, :, k], self.rates[k, :, 1 - k] = right, 1 - right
-        start, self.bad = self.rates.copy(), 0.2
+        # rates[class, labeller, vote]: share of the class's documents with this vote
+        start = np.full((2, sources, 2), 0.03)
+        start[GOOD, :, GOOD] = start[BAD, :, BAD] = 0.3
+        start[:, -1:] = 3e-5
+        start[GOOD, -1:, GOOD] = start[BAD, -1:, BAD] = 0.3
+        self.rates, self.bad = start.copy(), 0.1
         for _ in range(ROUNDS if len(seen) else 0):
-            p = self._posterior(cast)
-            self.bad = float((n * p).sum() + 1) / (n.sum() + 5)
+            p = self._posterior()
+            self.bad = float((n * p).sum() + 1) / (n.sum() + 10)
             for k, share in ((GOOD, 1 - p), (BAD, p)):
                 for vote in (GOOD, BAD):
                     hits = ((cast == vote) * (n * share)[:, None]).sum(axis=0)
-                    self.rates[k, :, vote] = hits + weight * start[k, :, vote]
-                self.rates[k] /= self.rates[k].sum(axis=1, keepdims=True)
-        self.labels = dict(zip(seen, self._posterior(cast).tolist()))
+                    self.rates[k, :, vote] = (hits + weight * start[k, :, vote]) / ((n * share).sum() + weight)
+        self.labels = dict(zip(seen, self._posterior().tolist()))
 
-    def _posterior(self, cast: np.ndarray) -> np.ndarray:
-        odds = np.full(len(cast), np.log(self.bad) - np.log1p(-self.bad))
-        for s in range(cast.shape[1] if len(cast) else 0):
+    def _posterior(self) -> np.ndarray:
+        odds = np.full(len(self.cast), np.log(self.bad) - np.log1p(-self.bad))
+        for s in range(self.cast.shape[1] if len(self.cast) else 0):
             for vote in (GOOD, BAD):
                 step = np.log(self.rates[BAD, s, vote]) - np.log(self.rates[GOOD, s, vote])
-                odds += np.where(cast[:, s] == vote, step, 0.0)
+                odds += np.where(self.cast[:, s] == vote, step, 0.0)
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
     def accuracies(self) -> np.ndarray:
-        return np.stack([self.rates[GOOD, :, GOOD], self.rates[BAD, :, BAD]], axis=1)
+        """For each labeller the share of its votes that are right, good and bad."""
+        share = np.array([1 - self.bad, self.bad])[:, None, None] * self.rates
+        return np.stack([share[k, :, k] / share[:, :, k].sum(axis=0) for k in (GOOD, BAD)], axis=1)
 
 
 def fit_scorer(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -207,7 +216,7 @@ def fit_scorer(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray)
 
     A feature counts by the log ratio of its shares in bad and in good rows, so
     rare accidents weigh little against what marks many rows; features of fewer
-    than ``SEEN`` rows count nothing. A step is relative to a row's features.
+    than ``SEEN`` rows and weights below ``LEAST`` count nothing. A step is relative to a row's features.
     """
     bad, good = np.zeros(WIDTH), np.zeros(WIDTH)
     seen = np.zeros(WIDTH, np.int64)
@@ -230,7 +239,9 @@ def fit_scorer(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray)
                 move = step * g / (1 + x @ x) * 4
                 w[slots] -= move * x
                 constant -= move
-    return np.append(w * ratio, constant)
+    w *= ratio
+    w[np.abs(w) < LEAST] = 0.0
+    return np.append(w, constant)
 
 
 class Classifier:
@@ -239,20 +250,25 @@ class Classifier:
     def __init__(self, weights: np.ndarray, labels: dict[str, LabelModel]):
         self.weights, self.labels = weights.astype(np.float32), labels
 
-    def score(
-        self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-    ) -> DataFrame:
-        """(id, low, toxic): the probability of each, for each row; a null text counts as an empty one."""
+    def scorer(self):
+        """A function from a text to the log odds of each head; remembers the tokens it meets."""
         weights = self.weights
+        used = weights.any(axis=0)
+        slots = Memo(lambda token: tuple(s for s in _slots(token) if used[s]))
+
+        def odds(text: str | None) -> np.ndarray:
+            x = features(Shape(text), slots)
+            return weights[:, x].sum(axis=1, dtype=np.float64) + weights[:, -1]
+
+        return odds
+
+    def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """(id, low, toxic): the probability of each, for each row; a null text counts as an empty one."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, slots = Memo(_word), Memo(_slots)
+            odds = self.scorer()
             for batch in batches:
-                out = []
-                for text in batch.column(1).to_pylist():
-                    x = features(Shape(text, words), slots)
-                    out.append(weights[:, x].sum(axis=1, dtype=np.float64) + weights[:, -1])
-                z = np.array(out, np.float64).reshape(-1, len(HEADS))
+                z = np.array([odds(t) for t in batch.column(1).to_pylist()], np.float64).reshape(-1, len(HEADS))
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *(pa.array(p[:, k]) for k in range(len(HEADS)))], names=["id", *HEADS]
@@ -292,13 +308,16 @@ def fit(
 
     def train(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("id")
-        words, slots = Memo(_word), Memo(_slots)
-        x = [features(Shape(t, words), slots) for t in rows["text"].to_pylist()]
+        slots = Memo(_slots)
+        x = [features(Shape(t), slots) for t in rows["text"].to_pylist()]
         w = []
         for h in HEADS:
             y = np.array([labels[h][p] for p in rows[h].to_pylist()])
             w.append(fit_scorer(x, y, np.abs(2 * y - 1)))
-        return pa.table({"weights": [np.stack(w).astype(np.float32).tobytes()]})
+        out = pa.table({"weights": [np.stack(w).astype(np.float32).tobytes()]})
+        del x, rows
+        release()
+        return out
 
     found = labelled.groupBy("one").applyInArrow(train, "weights binary").collect()
     if found:
@@ -318,36 +337,19 @@ def judgements(labels: DataFrame) -> DataFrame:
     )
 
 
-def keep_good(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, classifier: Classifier, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that reach a limit of ``LIMITS``; columns stay as they are."""
-    weights = classifier.weights
     most = np.array([np.log(LIMITS[h] / (1 - LIMITS[h])) for h in HEADS])
 
     @F.pandas_udf("boolean")
-    def good(text):
-        import pandas as pd
-
-        words, slots = _memos()
-        out = []
-        for t in text:
-            x = features(Shape(t, words), slots)
-            z = weights[:, x].sum(axis=1, dtype=np.float64) + weights[:, -1]
-            out.append(bool((z < most).all()))
-        return pd.Series(out, dtype=bool)
+    def good(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        odds = classifier.scorer()
+        for texts in parts:
+            yield pd.Series([bool((odds(t) < most).all()) for t in texts], dtype=bool)
 
     return docs.where(good(F.col(text_col)))
 
 
-_HELD: list[tuple[Memo, Memo]] = []
-
-
-def _memos() -> tuple[Memo, Memo]:
-    """Memos that a worker keeps from batch to batch."""
-    if not _HELD:
-        _HELD.append((Memo(_word), Memo(_slots)))
-    return _HELD[0]
-
-
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, p_low, p_toxic, kept) of each document."""
     docs = table(spark, sf, "documents")

@@ -27,13 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import Memo, table, utf8, words_of, written
+from panelweave.llm.common import Memo, release, table, utf8, words_of, written
 
 WINDOW = 50
 #: Words that are hashed together, and the bits that number them behind a hash.
 CHUNK, BITS = 1 << 19, 20
 #: Bytes of text for each partition of the hashes.
-PART_BYTES = 12 << 20
+PART_BYTES = 8 << 20
 #: Word hashes that a task remembers.
 MEMO = 150_000
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -205,6 +205,7 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
             for p in np.flatnonzero(np.diff(cuts)).tolist():
                 rows.append(_blob(p, keys[cuts[p] : cuts[p + 1]].tobytes(), b"", table_[1], table_[2], table_[0]))
             yield _emit(rows)
+        release()
 
     def settle(key: tuple, rows: pa.Table) -> pa.Table:
         if key[0].as_py() >= parts:
@@ -297,6 +298,7 @@ def repeated_windows(docs: DataFrame, window: int, parts: int) -> DataFrame:
                     held, total, turn = [], 0, turn + 1
         if held:
             yield flush()
+        release()
 
     def settle(key: tuple, rows: pa.Table) -> pa.Table:
         if key[0].as_py() >= parts:
