@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = 8, app: str = "panelweave") -> SparkSession:
+def local_session(cores: int | str = 8, app: str = "panelweave", shared: str | None = None) -> SparkSession:
     """A session for tests and benches; a cluster brings its own settings."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -19,21 +19,28 @@ def local_session(cores: int | str = 8, app: str = "panelweave") -> SparkSession
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="panelweave-"))
         .getOrCreate()
     )
 
 
+#: Folders of local sessions that name none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
     Only a local session may fall back to a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="panelweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="panelweave-")
+        folder = _LOCAL[context.applicationId]
     return folder.rstrip("/")
 
 
