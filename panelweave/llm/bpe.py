@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from panelweave.llm.common import Memo, table
+from panelweave.llm.common import Memo, release, table
 
 #: Fixed value: the pattern by which byte-level vocabularies of this kind part a text.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of a text that are parted at once, and bytes of a piece that is remembered whole.
 SLICE, SHORT, BUFFER = 1 << 16, 64, 4096
+#: Rows whose ids are held at once.
+ROWS = 500
 NEVER = 1 << 60
 #: Letters and numbers newer than the Unicode of the tokenizers library, which takes them as other signs.
 NEWER = """
@@ -125,10 +127,10 @@ class Encoder:
         self.edge = regex.compile(r"(?<=\S)\s")
         found = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, found)) + ")") if found else None
-        self.memo = Memo(self._piece, 200_000)
+        self.memo = Memo(self._piece, 100_000)
         #: The same for whole words behind a space, and behind a line end.
-        self.spaced = Memo(lambda word: self._parted(" " + word), 400_000)
-        self.lined = Memo(lambda word: self._parted("\n" + word), 50_000)
+        self.spaced = Memo(lambda word: self._parted(" " + word), 200_000)
+        self.lined = Memo(lambda word: self._parted("\n" + word), 20_000)
 
     def _parted(self, text: str) -> bytes:
         return b"".join(map(self.memo.__getitem__, self.pieces.findall(text)))
@@ -313,17 +315,15 @@ def digest(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
         encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
         for batch in batches:
             out = []
-            for text in batch.column(1).to_pylist():
-                ids = encoder(text)
-                decoded = hashlib.sha256()
-                for part in decoder.stream(ids):
-                    decoded.update(part.encode())
-                out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded.hexdigest()))
+            for text in batch.column(1):
+                ids = encoder(text.as_py())
+                out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), _text_sha(decoder, ids)))
             n, ids_sha, text_sha = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        release()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -331,24 +331,36 @@ def digest(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
     """``docs`` with n_tokens, token_ids and the SHA-256 of the text decoded from them in place of the text."""
+    new = {"n_tokens": "bigint", "token_ids": "array<int>", "decoded_sha256": "string"}
+    columns = [c for c in docs.columns if c not in (text_col, *new)]
 
-    def sha(decoder: Decoder):
-        def run(column: pa.Array) -> pa.Array:
-            ends = column.offsets.to_numpy() * 4
-            raw = column.values.to_numpy().astype("<u4").tobytes()
-            found = []
-            for a, b in zip(ends.tolist(), ends[1:].tolist()):
-                decoded = hashlib.sha256()
-                for part in decoder.stream(raw[a:b]):
-                    decoded.update(part.encode())
-                found.append(decoded.hexdigest())
-            return pa.array(found, pa.string())
-
-        return run
-
-    ids = encode(docs, vocabulary, text_col).drop(text_col)
-    out = _with(ids, "token_ids", "decoded_sha256", "string", lambda v=vocabulary: sha(Decoder(v)))
-    return out.withColumn("n_tokens", F.size("token_ids").cast("long"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                ids = [encoder(t.as_py()) for t in batch.column(0)]
+                n = [len(x) // 4 for x in ids]
+                values = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), values)
+                sha = [_text_sha(decoder, x) for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[1:], pa.array(n, pa.int64()), lists, pa.array(sha, pa.string())],
+                    names=[*columns, *new],
+                )
+        release()
+
+    schema = StructType([docs.schema[c] for c in columns])
+    for name, kind in new.items():
+        schema = schema.add(StructField(name, DataType.fromDDL(kind)))
+    return docs.select(text_col, *columns).mapInArrow(run, schema)
+
+
+def _text_sha(decoder: Decoder, ids: bytes) -> str:
+    found = hashlib.sha256()
+    for part in decoder.stream(ids):
+        found.update(part.encode())
+    return found.hexdigest()
 
 
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:

@@ -196,15 +196,16 @@ def draws(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = Tree(quotas, shard, seed)
         for batch in batches:
-            frame = batch.to_pandas()
-            out = np.zeros(len(frame), np.int64)
-            for (number, turn), at in frame.groupby(["number", "turn"]).indices.items():
-                ranks = frame["rank"].to_numpy()[at] + base[number, turn]
-                out[at] = tree.shard_of(number, ranks)
-            frame["shard"] = out
-            yield pa.RecordBatch.from_pandas(
-                frame[["row", "id", "number", "turn", "block", "words", "shard", "draw"]],
-                preserve_index=False,
+            number, turn, rank = (
+                batch.column(name).to_numpy(zero_copy_only=False) for name in ("number", "turn", "rank")
+            )
+            out = np.zeros(batch.num_rows, np.int64)
+            for pass_ in np.unique(np.stack([number, turn]), axis=1).T.tolist():
+                at = np.flatnonzero((number == pass_[0]) & (turn == pass_[1]))
+                out[at] = tree.shard_of(pass_[0], rank[at] + base[tuple(pass_)])
+            names = ["row", "id", "number", "turn", "block", "words"]
+            yield pa.RecordBatch.from_arrays(
+                [*map(batch.column, names), pa.array(out), batch.column("draw")], names=[*names, "shard", "draw"]
             )
 
     placed = ranked.mapInArrow(

@@ -18,7 +18,6 @@ from operator import eq
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +27,11 @@ from panelweave.llm.common import Memo, release, table, written
 GOOD, BAD, NONE = 0, 1, 2
 #: Weights of the scorer, passes over the sample, step size, and rows of the sample at most.
 WIDTH, PASSES, STEP, SAMPLE = 1 << 18, 8, 1.0, 10_000
-#: Rows of the sample in which a feature must be seen.
-SEEN = 3
+#: Deviations from chance beyond which a feature counts, and beyond that at most.
+SURE, MOST = 3.0, 15.0
 #: Weights nearer to zero are left out.
 LEAST = 2e-3
-ROUNDS, PRIOR = 50, 20.0
+ROUNDS, PRIOR, JUDGED = 50, 20.0, 0.999
 BEGINNINGS = (4, 5, 6, 7)
 #: Common words of English, French, Spanish and German, and English insults.
 COMMON = frozenset(
@@ -112,7 +111,7 @@ LABELLERS = {
 }
 HEADS = tuple(LABELLERS)
 #: Probabilities from which a document is rejected.
-LIMITS = {"low": 0.5, "toxic": 0.3}
+LIMITS = {"low": 0.5, "toxic": 0.4}
 
 
 def _slot(feature: str) -> int:
@@ -145,8 +144,8 @@ def votes(docs: DataFrame, id_col: str, text_col: str, judged: DataFrame | None)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list[str]] = {h: [] for h in HEADS}
-            for text in batch.column(1).to_pylist():
-                shape = Shape(text)
+            for text in batch.column(1):
+                shape = Shape(text.as_py())
                 for head in HEADS:
                     out[head].append("".join(str(vote(shape)) for vote in LABELLERS[head].values()))
             yield pa.RecordBatch.from_arrays(
@@ -171,22 +170,19 @@ class LabelModel:
     ``patterns`` are the vote patterns with their counts over all documents, at
     most three to the power of the labellers, whatever the corpus. Not to vote
     says nothing. Labellers start as ten times likelier to be right than wrong,
-    the judged, who come last, as ten thousand times; that start counts as
-    ``PRIOR`` documents of each kind, and for the judged as all of them.
+    which counts as ``PRIOR`` documents of each kind. The judged, who vote last,
+    are not estimated: where they vote they are taken as right in ``JUDGED``.
     """
 
     def __init__(self, patterns: dict[str, int]):
         seen = sorted(patterns)
-        self.cast = cast = np.array([[int(c) for c in p] for p in seen], np.int64).reshape(len(seen), -1)
+        cast = np.array([[int(c) for c in p] for p in seen], np.int64).reshape(len(seen), -1 if seen else 1)
+        self.cast, self.told = cast[:, :-1], cast[:, -1]
         self.n = n = np.array([patterns[p] for p in seen], float)
-        sources = cast.shape[1]
-        weight = np.full(sources, PRIOR)
-        weight[-1:] = max(PRIOR, n.sum())
+        cast = self.cast
         # rates[class, labeller, vote]: share of the class's documents with this vote
-        start = np.full((2, sources, 2), 0.03)
+        start = np.full((2, cast.shape[1], 2), 0.03)
         start[GOOD, :, GOOD] = start[BAD, :, BAD] = 0.3
-        start[:, -1:] = 3e-5
-        start[GOOD, -1:, GOOD] = start[BAD, -1:, BAD] = 0.3
         self.rates, self.bad = start.copy(), 0.1
         for _ in range(ROUNDS if len(seen) else 0):
             p = self._posterior()
@@ -194,7 +190,7 @@ class LabelModel:
             for k, share in ((GOOD, 1 - p), (BAD, p)):
                 for vote in (GOOD, BAD):
                     hits = ((cast == vote) * (n * share)[:, None]).sum(axis=0)
-                    self.rates[k, :, vote] = (hits + weight * start[k, :, vote]) / ((n * share).sum() + weight)
+                    self.rates[k, :, vote] = (hits + PRIOR * start[k, :, vote]) / ((n * share).sum() + PRIOR)
         self.labels = dict(zip(seen, self._posterior().tolist()))
 
     def _posterior(self) -> np.ndarray:
@@ -203,7 +199,8 @@ class LabelModel:
             for vote in (GOOD, BAD):
                 step = np.log(self.rates[BAD, s, vote]) - np.log(self.rates[GOOD, s, vote])
                 odds += np.where(self.cast[:, s] == vote, step, 0.0)
-        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        return np.where(self.told == BAD, JUDGED, np.where(self.told == GOOD, 1 - JUDGED, p))
 
     def accuracies(self) -> np.ndarray:
         """For each labeller the share of its votes that are right, good and bad."""
@@ -214,18 +211,17 @@ class LabelModel:
 def fit_scorer(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Logistic regression over present features; the last weight is the constant.
 
-    A feature counts by the log ratio of its shares in bad and in good rows, so
-    rare accidents weigh little against what marks many rows; features of fewer
-    than ``SEEN`` rows and weights below ``LEAST`` count nothing. A step is relative to a row's features.
+    A feature counts by how many deviations more (or fewer) bad rows have it than
+    chance would give, beyond ``SURE`` and up to ``MOST``, so that rare accidents
+    count nothing beside what marks many rows. A step is relative to a row's features.
     """
-    bad, good = np.zeros(WIDTH), np.zeros(WIDTH)
-    seen = np.zeros(WIDTH, np.int64)
+    bad, seen = np.zeros(WIDTH), np.zeros(WIDTH)
     for slots, y in zip(rows, labels.tolist()):
         bad[slots] += y
-        good[slots] += 1 - y
         seen[slots] += 1
-    ratio = np.log((bad + 1) / (labels.sum() + 2)) - np.log((good + 1) / ((1 - labels).sum() + 2))
-    ratio[seen < SEEN] = 0.0
+    chance = seen * (labels.mean() if len(labels) else 0.0)
+    apart = (bad - chance) / np.sqrt(chance + 0.5)
+    ratio = np.sign(apart) * np.clip(np.abs(apart) - SURE, 0, MOST)
     w, constant = np.zeros(WIDTH), 0.0
     order = np.random.default_rng(5)
     for k in range(PASSES):
@@ -254,7 +250,7 @@ class Classifier:
         """A function from a text to the log odds of each head; remembers the tokens it meets."""
         weights = self.weights
         used = weights.any(axis=0)
-        slots = Memo(lambda token: tuple(s for s in _slots(token) if used[s]))
+        slots = Memo(lambda token: tuple(s for s in _slots(token) if used[s]), 100_000)
 
         def odds(text: str | None) -> np.ndarray:
             x = features(Shape(text), slots)
@@ -268,11 +264,12 @@ class Classifier:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             odds = self.scorer()
             for batch in batches:
-                z = np.array([odds(t) for t in batch.column(1).to_pylist()], np.float64).reshape(-1, len(HEADS))
+                z = np.array([odds(t.as_py()) for t in batch.column(1)], np.float64).reshape(-1, len(HEADS))
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *(pa.array(p[:, k]) for k in range(len(HEADS)))], names=["id", *HEADS]
                 )
+            release()
 
         rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         kind = docs.schema[id_col].dataType.simpleString()
@@ -341,13 +338,15 @@ def keep_good(docs: DataFrame, classifier: Classifier, text_col: str = "text") -
     """``docs`` without the rows that reach a limit of ``LIMITS``; columns stay as they are."""
     most = np.array([np.log(LIMITS[h] / (1 - LIMITS[h])) for h in HEADS])
 
-    @F.pandas_udf("boolean")
-    def good(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    at = docs.columns.index(text_col)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds = classifier.scorer()
-        for texts in parts:
-            yield pd.Series([bool((odds(t) < most).all()) for t in texts], dtype=bool)
+        for batch in batches:
+            yield batch.filter(pa.array([bool((odds(t.as_py()) < most).all()) for t in batch.column(at)], pa.bool_()))
+        release()
 
-    return docs.where(good(F.col(text_col)))
+    return docs.mapInArrow(good, docs.schema)
 
 
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
