@@ -159,6 +159,8 @@ def with_next(df: DataFrame, id_col: str, text: str, signatures: str, bucket_row
     follows = starts.select(
         "__bucket", F.coalesce(F.lead("__id").over(ring), F.first("__id").over(whole)).alias("__id")
     )
+    # a row for each bucket: small beside the rows, and broadcast only below a checked number
+    follows = F.broadcast(follows) if many < 100_000 else follows
     firsts = (
         df.select(F.col(id_col).alias("__id"), F.col(text).alias("__first_text"),
                   F.col(signatures).alias("__first_signatures"), "__order")
