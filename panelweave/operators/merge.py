@@ -76,10 +76,3 @@ def lag_importance(importance: DataFrame, keys: list[str]) -> DataFrame:
         .groupBy(*keys, "feature")
         .agg(F.sum("value").alias("value"))
     )
-
-
-def training_frame(
-    features: DataFrame, labels: DataFrame, windows: DataFrame
-) -> DataFrame:
-    """Features with label and weight: left joins, so unlabeled rows stay."""
-    return features.join(labels, ["entity", "window"], "left").join(windows, "window", "left")

@@ -15,13 +15,23 @@ def _extent(frame: DataFrame, column: str) -> Column:
 
 
 def missingness(panel: DataFrame, entities: DataFrame | None = None) -> DataFrame:
-    """Per (period, indicator): absolute and percent missing over the entities."""
+    """Per (period, indicator) of the panel: absolute and percent missing over the entities.
+
+    With ``entities`` only their cells count, and a column that none of them
+    observes misses all of them.
+    """
     universe = panel if entities is None else entities
     n = F.col("entities")
+    counts = panel if entities is None else panel.join(
+        entities.select("entity").distinct(), "entity", "left_semi"
+    )
+    counts = counts.groupBy("period", "indicator").agg(F.count("value").alias("observed"))
+    if entities is not None:
+        counts = panel.select("period", "indicator").distinct().join(
+            counts, ["period", "indicator"], "left"
+        ).withColumn("observed", F.coalesce("observed", F.lit(0)))
     return (
-        panel.groupBy("period", "indicator")
-        .agg(F.count("value").alias("observed"))
-        .withColumn("entities", _extent(universe, "entity"))
+        counts.withColumn("entities", _extent(universe, "entity"))
         .select(
             "period",
             "indicator",
@@ -203,7 +213,7 @@ def target_validity(
 
 
 def missing_audit(panel: DataFrame, dim: DataFrame, entities: DataFrame) -> DataFrame:
-    """Per (dataset, period): missing cells, counted against all entities."""
+    """Per (dataset, period): cells of the panel's columns that the entities miss."""
     return (
         missingness(panel, entities)
         .join(dim.select("indicator", "dataset").distinct(), "indicator")

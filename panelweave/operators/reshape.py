@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from panelweave.functions import null_if_nan
 
-# A pivot's columns are schema, which the driver holds; wider matrices stay long.
-MAX_COLUMNS = 20_000
-
-
 def unpivot(
     wide: DataFrame, ids: Sequence[str], periods: Sequence[str], keep_nulls: bool = False
 ) -> DataFrame:
@@ -24,11 +20,11 @@ def unpivot(
 
 
 def column_labels(df: DataFrame, column: str) -> list[str]:
-    """Sorted labels that become columns, read after a check of their number."""
-    labels = df.select(column).distinct().limit(MAX_COLUMNS + 1).collect()
-    if len(labels) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} columns: keep this matrix in long form")
-    return sorted(str(r[0]) for r in labels)
+    """Sorted labels that become columns; columns are schema, which the driver holds.
+
+    Where there are too many for a schema, keep the long form.
+    """
+    return sorted(str(r[0]) for r in df.select(column).distinct().collect())
 
 
 def pivot_panel(
@@ -45,24 +41,28 @@ def pivot_panel(
 
 def densify(
     panel: DataFrame, entities: DataFrame, labels: DataFrame, label_cols: Sequence[str],
-    block: int = 1024,
+    block: int = 1024, group: int = 4096,
 ) -> DataFrame:
     """Every (entity, label) cell, with a null value where nothing is observed.
 
-    ``labels`` are packed into lists of about ``block`` entries; an entity meets
-    each list once through an equi-join and unfolds it. The join moves one row
-    per list, not per cell, and the size of the result is the size asked for.
+    The result is the product of entities and labels, as that is what is asked
+    for. ``labels`` are packed into lists of about ``block`` entries; entities are
+    dealt into groups of about ``group``, and each list goes once to each group, so
+    the join has lists times groups keys, none of them hot.
     """
+    groups = F.greatest(entities.select(F.ceil(F.count("*") / group)).scalar(), F.lit(1))
     blocks = labels.select(F.ceil(F.count("*") / block)).scalar()
     packed = (
         labels.select(*label_cols)
         .withColumn("block", F.pmod(F.xxhash64(*label_cols), F.greatest(blocks, F.lit(1))))
         .groupBy("block")
         .agg(F.collect_list(F.struct(*label_cols)).alias("list"))
+        .withColumn("group", F.explode(F.sequence(F.lit(0), groups - 1).cast("array<bigint>")))
     )
-    spread = entities.select("entity").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.greatest(blocks, F.lit(1)) - 1).cast("array<bigint>"))
-    )
-    cells = spread.join(packed, "block").select("entity", F.inline("list"))
+    spread = entities.select("entity").withColumns({
+        "block": F.explode(F.sequence(F.lit(0), F.greatest(blocks, F.lit(1)) - 1).cast("array<bigint>")),
+        "group": F.pmod(F.xxhash64("entity"), groups),
+    })
+    cells = spread.join(packed, ["block", "group"]).select("entity", F.inline("list"))
     keys = ["entity", *label_cols]
     return cells.join(panel.select(*keys, "value"), keys, "left")

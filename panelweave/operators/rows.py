@@ -61,11 +61,6 @@ def drop_all_null_columns(cells: DataFrame, column: str) -> DataFrame:
     return cells.join(seen, column, "left_semi")
 
 
-def without(df: DataFrame, labels: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key is not among ``labels``."""
-    return df.join(labels, on if isinstance(on, str) else list(on), "left_anti")
-
-
 def only(df: DataFrame, labels: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key is among ``labels``."""
     return df.join(labels, on if isinstance(on, str) else list(on), "left_semi")
@@ -102,9 +97,17 @@ def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     )
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: str, attribute: str) -> DataFrame:
-    """Adds ``attribute`` of the first dimension row of each code."""
-    first = first_row(dim.select(on, attribute), [on], [attribute])
+def lookup(
+    df: DataFrame, dim: DataFrame, on: str, attribute: str, order: Sequence[str] | None = None
+) -> DataFrame:
+    """Adds ``attribute`` of the first dimension row of each code, by ``order``.
+
+    ``order`` names what tells the rows' order, such as a scan's line; without it
+    ``dim`` must hold each code once.
+    """
+    first = dim.select(on, attribute) if order is None else first_row(
+        dim.select(on, attribute, *[c for c in order if c not in (on, attribute)]), [on], order
+    ).select(on, attribute)
     return df.join(first, on, "inner")
 
 

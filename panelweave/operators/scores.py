@@ -34,11 +34,3 @@ def normalised_rmse(scores: DataFrame, stats: DataFrame, keys: Sequence[str]) ->
     return scores.join(stats, list(keys)).select(
         *keys, "rmse", F.when(usable, by_mean).otherwise(by_span).alias("nrmse")
     )
-
-
-def r_squared(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Out-of-fold share of explained variance."""
-    residual = (F.col("y") - F.col("prediction")) * (F.col("y") - F.col("prediction"))
-    return scored.groupBy(*keys).agg(
-        (1 - F.sum(residual) / F.nullif(F.count("y") * F.var_pop("y"), F.lit(0.0))).alias("r2")
-    )

@@ -11,10 +11,20 @@ from panelweave.queries import inputs as i
 from panelweave.queries.registry import query
 from panelweave.session import cut
 
-# Parameters of the sparse panel: days 1-30, targets from day 16, so that every
-# target has the full 13 windows of a 15-day slice with lag 3.
-FIRST, LAST, START, END = 1, 30, 16, 31
-SHARE = 0.85
+# Targets of the sparse panel come 15 periods after its first, so that every
+# target has the full 13 windows of a 15-period slice with lag 3.
+BACK, SHARE = 15, 0.85
+
+
+def extent(panel):
+    """First and last period of a panel."""
+    return tuple(panel.agg(F.min("period"), F.max("period")).first())
+
+
+def span(panel):
+    """(first target period, end) of a panel, and its first period by name."""
+    first, last = extent(panel)
+    return (first + BACK, last + 1), {"first": first}
 
 
 def rounded(df, *columns, places: int = 6):
@@ -27,7 +37,7 @@ i.SQL["mom"] = """mom as (
 
 i.SQL["near"] = """near as (
   select e.*, g.p, row_number() over (partition by entity, indicator, g.p order by abs(period - g.p), period) rn
-  from panel_e e cross join generate_series(1, 30) g(p))"""
+  from panel_e e cross join days g)"""
 
 # --- missingness and validity -------------------------------------------------
 
@@ -68,11 +78,10 @@ def rank_total(spark, sf):
 
 
 @query("""select indicator, (select count(*) from focus_e) - count(distinct f.entity) as missing_focus
-from (select * from panel_e where value >= 20000) p left join focus_e f on p.entity = f.entity
+from panel_e p left join focus_e f on p.entity = f.entity
 group by 1""", "panel_e focus_e")
 def missing_focus(spark, sf):
-    panel = i.panel_e(spark, sf).where("value >= 20000")
-    return profile.missing_focus(panel, i.focus_e(spark, sf))
+    return profile.missing_focus(i.panel_e(spark, sf), i.focus_e(spark, sf))
 
 
 i.SQL["focused_e"] = """focused_e as (select * from panel_e where entity in (select entity from focus_e))"""
@@ -83,18 +92,18 @@ i.SQL["profile_e"] = """profile_e as (
          string_agg(y, ',' order by y) filter (share = 0) available_years,
          string_agg(y, ',' order by y) filter (share < 1) target_years,
          max(case when y = t.p and share > 0 then 1 else 0 end) as now_missing
-  from generate_series(16, 30) t(p)
+  from (select p from days where p >= (select min(p) from days) + 15) t(p)
   join (select b.indicator, g.y, (b.base - coalesce(c.seen, 0)) / cast(b.base as double) share
         from (select indicator, count(distinct entity) base from focused_e group by 1) b
-        cross join generate_series(1, 30) g(y)
+        cross join days g(y)
         left join (select indicator, period, count(*) seen from focused_e group by 1, 2) c
           on c.indicator = b.indicator and c.period = g.y) s
-    on s.y between greatest(1, t.p - 15) and t.p
+    on s.y between greatest((select min(p) from days), t.p - 15) and t.p
   group by 1, 2)"""
 i.SQL["unseen_e"] = """unseen_e as (
   select indicator, (select count(*) from focus_e) - count(distinct entity) as missing_focus
   from focused_e group by 1)"""
-i.NEEDS |= {"focused_e": ["panel_e", "focus_e"], "profile_e": ["focused_e"], "unseen_e": ["focused_e"]}
+i.NEEDS |= {"focused_e": ["panel_e", "focus_e"], "profile_e": ["focused_e", "days"], "near": ["panel_e", "days"], "unseen_e": ["focused_e"]}
 
 
 def _focused_e(spark, sf):
@@ -111,7 +120,8 @@ _LISTS = ("missing_years", "available_years", "target_years")
 
 @query("""select cast(period as int) as period, indicator, missing_years_count, missing_years, available_years, target_years from profile_e""", "profile_e")
 def missing_year_profile(spark, sf):
-    out = profile.missing_year_profile(_focused_e(spark, sf), START, END, first=FIRST, limit=SHARE)
+    targets, first = span(i.panel_e(spark, sf))
+    out = profile.missing_year_profile(_focused_e(spark, sf), *targets, limit=SHARE, **first)
     return _joined(out, *_LISTS).drop("slice_size")
 
 
@@ -120,8 +130,9 @@ def missing_year_profile(spark, sf):
 from profile_e join unseen_e using (indicator)
 where missing_focus < 15 and missing_years_count < slice_size / 2.0""", "profile_e unseen_e")
 def validity_check(spark, sf):
+    targets, first = span(i.panel_e(spark, sf))
     out = profile.validity_check(
-        _focused_e(spark, sf), i.focus_e(spark, sf), START, END, 15, 2, first=FIRST, limit=SHARE
+        _focused_e(spark, sf), i.focus_e(spark, sf), *targets, 15, 2, limit=SHARE, **first
     )
     return _joined(out, *_LISTS)
 
@@ -129,8 +140,9 @@ def validity_check(spark, sf):
 @query("""select cast(period as int) as period, indicator from profile_e join unseen_e using (indicator)
 where missing_focus < 15 and missing_years_count < slice_size / 2.0""", "profile_e unseen_e")
 def predictor_validity(spark, sf):
+    targets, first = span(i.panel_e(spark, sf))
     return profile.predictor_validity(
-        _focused_e(spark, sf), i.focus_e(spark, sf), START, END, first=FIRST, limit=SHARE
+        _focused_e(spark, sf), i.focus_e(spark, sf), *targets, limit=SHARE, **first
     )
 
 
@@ -138,17 +150,18 @@ def predictor_validity(spark, sf):
 where missing_focus < 50 and missing_years_count < slice_size / 1.25
   and (now_missing = 1 or missing_focus > 0)""", "profile_e unseen_e")
 def target_validity(spark, sf):
+    targets, first = span(i.panel_e(spark, sf))
     return profile.target_validity(
-        _focused_e(spark, sf), i.focus_e(spark, sf), START, END, first=FIRST, limit=SHARE
+        _focused_e(spark, sf), i.focus_e(spark, sf), *targets, limit=SHARE, **first
     )
 
 
-@query("""select dataset, period, cast(sum(absolute_missing) as bigint) as missing_cells,
-  sum(absolute_missing) = 0 as complete
-from miss join dim_l using (indicator) group by 1, 2""", "dim_l miss")
+@query("""select d.dataset, period, count(*) filter (where value is null) as missing_cells,
+  count(*) = count(value) as complete
+from dense_l join dim_l d using (indicator) group by 1, 2""", "dense_l dim_l")
 def missing_audit(spark, sf):
     panel = i.panel_l(spark, sf)
-    return profile.missing_audit(panel, i.dim_of(panel), panel)
+    return profile.missing_audit(panel, i.dim_of(panel), i.focus_l(spark, sf))
 
 
 @query("""select t.period, t.indicator as target, d.n as n_train, coalesce(k.k, 0) as predictors,
@@ -259,11 +272,10 @@ def _entity_periods(entities, periods):
 where rn <= 10""", "panel_l mom")
 def nearest_features(spark, sf):
     cells = i.panel_l(spark, sf).select(
-        F.lit(0).alias("all"), F.struct("entity", "period").alias("row"), "indicator", "value"
+        F.struct("entity", "period").alias("row"), "indicator", "value"
     )
     cells = cells.withColumn("row", F.concat_ws("|", "row.entity", "row.period"))
-    near = pairs.nearest_features(pairs.pair_stats(cells, ["all"], "row"), ["all"])
-    return rounded(near, "strength").drop("all")
+    return rounded(pairs.nearest_features(pairs.pair_stats(cells, [], "row"), []), "strength")
 
 
 
@@ -343,7 +355,8 @@ def topk_importance(spark, sf):
 
 @query("select entity, indicator, period, value from filled_e", "filled_e")
 def interpolate_linear(spark, sf):
-    return series.interpolate_linear(i.panel_e(spark, sf), FIRST, LAST)
+    panel = i.panel_e(spark, sf)
+    return series.interpolate_linear(panel, *extent(panel))
 
 
 @query("""select s.entity, s.indicator, cast(g.p as int) as period, round(
@@ -351,14 +364,15 @@ def interpolate_linear(spark, sf):
   + n2.value * (g.p - n1.period) / (n2.period - n1.period) * (g.p - n3.period) / (n2.period - n3.period)
   + n3.value * (g.p - n1.period) / (n3.period - n1.period) * (g.p - n2.period) / (n3.period - n2.period), 6) as value
 from (select entity, indicator, min(period) lo, max(period) hi from panel_e group by 1, 2) s
-join generate_series(1, 30) g(p) on g.p between s.lo and s.hi
+join days g on g.p between s.lo and s.hi
 join near n1 on n1.entity = s.entity and n1.indicator = s.indicator and n1.p = g.p and n1.rn = 1
 join near n2 on n2.entity = s.entity and n2.indicator = s.indicator and n2.p = g.p and n2.rn = 2
 join near n3 on n3.entity = s.entity and n3.indicator = s.indicator and n3.p = g.p and n3.rn = 3
 where not exists (select 1 from panel_e o where o.entity = s.entity and o.indicator = s.indicator and o.period = g.p)
-union all select entity, indicator, period, value from panel_e""", "panel_e near")
+union all select entity, indicator, period, value from panel_e""", "near")
 def interpolate_poly(spark, sf):
-    return rounded(series.interpolate_poly(i.panel_e(spark, sf), FIRST, LAST, 2), "value")
+    panel = i.panel_e(spark, sf)
+    return rounded(series.interpolate_poly(panel, *extent(panel), 2), "value")
 
 
 i.SQL["lags_e"] = """lags_e as (
@@ -369,33 +383,35 @@ i.NEEDS["lags_e"] = ["filled_e"]
 
 @query('select entity, indicator, win as "window", lag, value from lags_e', "lags_e")
 def lag_features(spark, sf):
-    filled = series.interpolate_linear(i.panel_e(spark, sf), FIRST, LAST)
-    return series.lag_features(filled, 3)
+    panel = i.panel_e(spark, sf)
+    return series.lag_features(series.interpolate_linear(panel, *extent(panel)), 3)
 
 
 i.SQL["windows_e"] = """windows_e as (
   select t.period, t.indicator, cast(w.w as int) as win, cast(1 as double) / (1 + t.period - w.w) as weight
-  from (select distinct period, indicator from panel_e where period between 16 and 30) t
-  join generate_series(1, 30) w(w) on w.w between greatest(1, t.period - 15) + 3 and t.period)"""
-i.NEEDS["windows_e"] = ["panel_e"]
+  from (select distinct period, indicator from panel_e where period >= (select min(p) from days) + 15) t
+  join days w(w) on w.w between greatest((select min(p) from days), t.period - 15) + 3 and t.period)"""
+i.NEEDS["windows_e"] = ["panel_e", "days"]
 
 
 def _targets_e(panel):
-    return rows.period_range(panel, START, END).select("period", "indicator").distinct()
+    targets, _ = span(panel)
+    return rows.period_range(panel, *targets).select("period", "indicator").distinct()
 
 
 @query("""select w.period, w.indicator, w.win as "window", p.entity, p.value
 from windows_e w join panel_e p on p.indicator = w.indicator and p.period = w.win""", "windows_e")
 def training_windows(spark, sf):
     panel = i.panel_e(spark, sf)
-    windows = series.training_windows(_targets_e(panel), first=FIRST).drop("weight")
+    windows = series.training_windows(_targets_e(panel), **span(panel)[1]).drop("weight")
     labels = panel.withColumnRenamed("period", "window")
     return windows.join(labels, ["indicator", "window"])
 
 
 @query("""select period, indicator, win as "window", weight from windows_e""", "windows_e")
 def recency_weights(spark, sf):
-    return series.training_windows(_targets_e(i.panel_e(spark, sf)), first=FIRST)
+    panel = i.panel_e(spark, sf)
+    return series.training_windows(_targets_e(panel), **span(panel)[1])
 
 
 @query("""select f.entity, f.win as "window", f.n_features, f.low, f.high, w.period, w.indicator as target, p.value as y, w.weight
@@ -405,11 +421,11 @@ left join panel_e p on p.entity = f.entity and p.period = f.win and p.indicator
        "lags_e windows_e")
 def ts_training_frame(spark, sf):
     panel = i.panel_e(spark, sf)
-    filled = series.interpolate_linear(panel, FIRST, LAST)
+    filled = series.interpolate_linear(panel, *extent(panel))
     features = series.lag_features(filled).groupBy("entity", "window").agg(
         F.count("*").alias("n_features"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    windows = series.training_windows(_targets_e(panel), first=FIRST).withColumnRenamed("indicator", "target")
+    windows = series.training_windows(_targets_e(panel), **span(panel)[1]).withColumnRenamed("indicator", "target")
     labels = panel.select("entity", F.col("period").alias("window"), F.col("indicator").alias("target"), F.col("value").alias("y"))
     return features.join(windows, "window").join(labels, ["entity", "window", "target"], "left")
 
@@ -566,7 +582,8 @@ def upsert_update(spark, sf):
     return docs.upsert_rows(stored, new, "update").where("key is not null")
 
 
-@query("""select * from docs_l where dataset not in (select dataset from dim_l where indicator like 'Brand#1%')
+@query("""select * from docs_l where (dataset, indicator) not in (
+    select (dataset, indicator) from docs_l where period >= 1998 and indicator like 'Brand#1%')
   and period <= 1998
 union all select dataset, indicator, part, period, key, value + 1 from docs_l
   where period >= 1998 and indicator like 'Brand#1%'""", "docs_l")

@@ -69,7 +69,7 @@ def scan_results(spark, sf):
 @query("""select d.dataset, t.period, t.target, t.feature, t.value
 from importance_given t join dim_l d on t.target = d.indicator""", "importance_given dim_l")
 def sink_matrix(spark, sf):
-    return results.scan_importance(spark, _write_results(spark, sf))
+    return results.scan_importance(spark, _write_results(spark, sf)).drop("line")
 
 
 @query("select 'mean' as model, entity, indicator, period, prediction, lower, upper from pred_given", "pred_given")

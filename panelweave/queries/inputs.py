@@ -14,6 +14,8 @@ SQL = {
          cast(year(l_shipdate) as int) period,
          cast(sum(cast(round(l_extendedprice * 100) as bigint)) as double) as value
   from lineitem join part on l_partkey = p_partkey group by 1, 2, 3)""",
+    "days": """days as (
+  select cast(unnest(generate_series(min(period), max(period))) as int) as p from panel_e)""",
     "panel_e": """panel_e as (
   select user_id entity, event_type || '-' || case when hour(ts) < 12 then 'am' else 'pm' end indicator,
          cast(day(ts) as int) period,
@@ -54,7 +56,7 @@ SQL = {
               else s.value end as value
   from (select *, lag(period) over w prv, lead(period) over w nxt, lead(value) over w nxt_value
         from panel_e window w as (partition by entity, indicator order by period)) s,
-       generate_series(1, 30) g(p)
+       days g
   where (g.p >= s.period or s.prv is null) and (g.p < s.nxt or s.nxt is null))""",
 }
 NEEDS = {
@@ -63,7 +65,8 @@ NEEDS = {
     "dense_l": ["panel_l", "focus_l", "pairs_l"],
     "pred_given": ["dense_l"],
     "importance_given": ["panel_l"],
-    "filled_e": ["panel_e"],
+    "filled_e": ["panel_e", "days"],
+    "days": ["panel_e"],
 }
 
 

@@ -117,15 +117,14 @@ def _large(spark, sf):
     return cells.withColumn("value", F.when(F.col("value") >= 9000000, F.col("value")))
 
 
-@query("""select * from large l where exists (
-  select 1 from large s where s.entity = l.entity and s.indicator = l.indicator and s.value is not null)""",
-       "dense_l large")
+@query("""select * from large where (entity, indicator) in (
+  select (entity, indicator) from large where value is not null)""", "dense_l large")
 def drop_all_null_rows(spark, sf):
     return rows.drop_all_null_rows(_large(spark, sf))
 
 
-@query("""select * from large l where exists (
-  select 1 from large s where s.indicator = l.indicator and s.value is not null)""", "dense_l large")
+@query("""select * from large where indicator in (
+  select indicator from large where value is not null)""", "dense_l large")
 def drop_all_null_cols(spark, sf):
     return rows.drop_all_null_columns(_large(spark, sf), "indicator")
 
@@ -185,28 +184,32 @@ def dataset_lookup(spark, sf):
     return rows.lookup(given, i.dim_of(panel), "indicator", "dataset")
 
 
-_PERIODS = ["1995", "1996", "1997", "1998", "1999", "2000", "2001"]
-
-
 def _wide(spark, sf):
-    return reshape.pivot_panel(
-        i.panel_l(spark, sf), ["entity", "indicator"], _PERIODS, label="period"
-    )
+    panel = i.panel_l(spark, sf)
+    periods = reshape.column_labels(panel, "period")
+    return reshape.pivot_panel(panel, ["entity", "indicator"], periods, label="period"), periods
 
 
-@query("select entity, indicator, period, value from panel_l where period between 1995 and 2001", "panel_l")
+@query("select entity, indicator, period, value from panel_l", "panel_l")
 def unpivot(spark, sf):
-    return reshape.unpivot(_wide(spark, sf), ["entity", "indicator"], _PERIODS)
+    wide, periods = _wide(spark, sf)
+    return reshape.unpivot(wide, ["entity", "indicator"], periods)
 
 
-@query("""select s.entity, s.indicator, cast(g.p as int) as period, l.value
-from (select distinct entity, indicator from panel_l) s cross join generate_series(1995, 2001) g(p)
-left join panel_l l on l.entity = s.entity and l.indicator = s.indicator and l.period = g.p""", "panel_l")
+@query("""select s.entity, s.indicator, g.period, l.value
+from (select distinct entity, indicator from panel_l) s
+cross join (select distinct period from panel_l) g
+left join panel_l l on l.entity = s.entity and l.indicator = s.indicator and l.period = g.period""", "panel_l")
 def unpivot_keep(spark, sf):
-    return reshape.unpivot(_wide(spark, sf), ["entity", "indicator"], _PERIODS, keep_nulls=True)
+    wide, periods = _wide(spark, sf)
+    return reshape.unpivot(wide, ["entity", "indicator"], periods, keep_nulls=True)
+
+
+# SQL views need their columns named: every brand with every return flag.
+_COLUMNS = ", ".join(f"'Brand#{k}-{flag}'" for k in range(1, 26) for flag in "ANR")
 
 
-@query("pivot panel_l on indicator using first(value) group by entity, period", "panel_l")
+@query(f"select * from (pivot panel_l on indicator in ({_COLUMNS}) using first(value) group by entity, period)", "panel_l")
 def pivot_panel(spark, sf):
     return reshape.pivot_panel(i.panel_l(spark, sf))
 
@@ -253,10 +256,10 @@ def union_predictions(spark, sf):
 
 @query("""select indicator, dataset from dim_l
 intersect select p.indicator, d.dataset from panel_l p join dim_l d using (indicator)
-where p.entity in (select entity from focus_l) and p.value >= 9000000""", "dim_l focus_l")
+where p.entity in (select entity from focus_l)""", "dim_l focus_l")
 def dataset_columns(spark, sf):
     panel = i.panel_l(spark, sf)
-    columns = rows.in_focus(panel, i.focus_l(spark, sf)).where("value >= 9000000")
+    columns = rows.in_focus(panel, i.focus_l(spark, sf))
     return rows.used_rows(i.dim_of(panel), columns, "indicator").select("indicator", "dataset")
 
 
