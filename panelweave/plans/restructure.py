@@ -15,13 +15,10 @@ def restructure(
     spark: SparkSession, results: str, dim: DataFrame, documents: str, model: str, mode: str = "new"
 ) -> None:
     """Reads each kind of matrix once and upserts the documents of ``model``."""
-    cells = first_row(
-        scan_results(spark, results),
-        ["dataset", "indicator", "period", "entity"], ["value", "lower", "upper"],
-    )
+    cells = scan_results(spark, results)
     importance = first_row(
         scan_importance(spark, results).withColumnRenamed("target", "indicator"),
-        ["dataset", "indicator", "period", "feature"], ["value"],
-    )
+        ["dataset", "indicator", "period", "feature"], ["line"],
+    ).drop("line")
     categories = category_importance(importance, dim, ["dataset", "indicator", "period"])
     write_documents(document_cells(cells, importance, categories), documents, model, mode)

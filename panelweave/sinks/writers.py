@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +15,14 @@ from panelweave.sources.results import KINDS
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    """Whether there is anything to read at ``path``."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return False
+        raise
+    return True
 
 
 def write_raw(results: DataFrame, path: str, append: bool = True) -> None:
@@ -33,7 +39,7 @@ def write_raw(results: DataFrame, path: str, append: bool = True) -> None:
 
 
 def _quoted(cell: Column) -> Column:
-    needs = cell.rlike('[",]')
+    needs = cell.rlike('[",\\r\\n]')
     return F.when(needs, F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(cell)
 
 
@@ -43,9 +49,10 @@ def write_matrices(
     """Entity x indicator matrices of values and bounds, and importance lists.
 
     ``filled(dataset, period, entity, indicator, value, lower, upper)``. Every
-    (dataset, period) has its own columns, so lines are built as text and all
-    matrices of a kind are written by one job. A matrix of many entities is
-    split over files, each with the header first.
+    (dataset, period) has its own columns, so lines of CSV are built as text and
+    all matrices of a kind are written by one job, as part files in
+    ``<kind>/dataset=<d>/period=<p>/``. A matrix of many entities is split over
+    files, each with the header first.
     """
     key = ["dataset", "period"]
     filled = cut(filled, "matrices")
@@ -88,7 +95,7 @@ def write_matrices(
             F.col("value").alias("feature importance"),
         )
         .repartition(*key)
-        .write.mode("overwrite").partitionBy(*key).option("header", True)
+        .write.mode("overwrite").partitionBy(*key).option("header", True).option("escape", '"')
         .csv(f"{root}/{KINDS['importance'][0]}")
     )
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelweave.operators.rows import first_row
+
 # Folder and file-name part of each kind of stored matrix.
 KINDS = {
     "predictions": ("predictions", "predictions"),
@@ -20,7 +22,6 @@ KINDS = {
 ID_COLUMNS = ("", "Country Code", "year", "Unnamed: 0", "Unnamed: 1")
 # Stored matrices are CSV files; the sink's lines are CSV in text files.
 FILES = "*.{csv,txt}"
-_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def _decoded(path: Column) -> Column:
@@ -44,17 +45,28 @@ def result_keys(path: Column) -> tuple[Column, Column]:
 
 
 def _records(spark: SparkSession, folder: str, marker: str) -> DataFrame:
-    """(dataset, period, line no key, record map) of every CSV line below ``folder``."""
+    """(dataset, period, line, names, cells) of every CSV record below ``folder``; ``line`` is in file order."""
     dataset, period = result_keys(F.col("file"))
+    files = {"recursiveFileLookup": True, "pathGlobFilter": FILES}
+    # Columns of the widest file at most: a quoted line break parts a record into
+    # lines, whose commas are then added up.
+    commas, quotes = F.length("value") - F.length(F.replace("value", F.lit(","))), F.length(
+        "value") - F.length(F.replace("value", F.lit('"')))
+    broken = F.sum(F.when(quotes % 2 == 1, commas).otherwise(0))
+    width = 1 + (spark.read.options(**files).text(folder).agg(F.max(commas) + broken).first()[0] or 0)
+    names = [f"c{k}" for k in range(width)]
     lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", FILES)
-        .text(folder)
+        spark.read.options(**files, multiLine=True, escape='"')
+        .schema(", ".join(f"{n} string" for n in names))
+        .csv(folder)
         .select(
             F.col("_metadata.file_path").alias("file"),
-            F.transform(
-                F.split("value", _COMMA, -1), lambda c: F.regexp_replace(F.trim(c), '^"|"$', "")
-            ).alias("cells"),
+            F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            ).alias("line"),
+            F.array(*(F.coalesce(F.trim(n), F.lit("")) for n in names)).alias("cells"),
         )
     )
     is_header = F.array_contains("cells", marker)
@@ -62,7 +74,7 @@ def _records(spark: SparkSession, folder: str, marker: str) -> DataFrame:
     return (
         lines.where(~is_header)
         .join(headers, "file")
-        .select(dataset.alias("dataset"), period.alias("period"), "names", "cells")
+        .select(dataset.alias("dataset"), period.alias("period"), "line", "names", "cells")
     )
 
 
@@ -71,27 +83,28 @@ def _field(name: str) -> Column:
 
 
 def scan_matrix(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """``(dataset, period, entity, indicator, value)`` of one kind of matrix."""
+    """``(dataset, period, line, entity, indicator, value)`` of one kind of matrix."""
     folder, _ = KINDS[kind]
     cell = F.explode(F.arrays_zip("names", "cells")).alias("cell")
     value = F.expr("try_cast(cell.cells as double)")
     return (
         _records(spark, f"{root}/{folder}", "Country Code")
-        .select("dataset", "period", _field("Country Code").alias("entity"), cell)
+        .select("dataset", "period", "line", _field("Country Code").alias("entity"), cell)
         .where(~F.col("cell.names").isin(*ID_COLUMNS))
         .select(
-            "dataset", "period", "entity", F.col("cell.names").alias("indicator"),
+            "dataset", "period", "line", "entity", F.col("cell.names").alias("indicator"),
             F.when(~F.isnan(value), value).alias("value"),
         )
     )
 
 
 def scan_importance(spark: SparkSession, root: str) -> DataFrame:
-    """``(dataset, period, target, feature, value)``; columns are bound by name."""
+    """``(dataset, period, line, target, feature, value)``; columns are bound by name."""
     folder, _ = KINDS["importance"]
     return _records(spark, f"{root}/{folder}", "predicted indicator").select(
         "dataset",
         "period",
+        "line",
         _field("predicted indicator").alias("target"),
         _field("feature indicator").alias("feature"),
         _field("feature importance").cast("double").alias("value"),
@@ -114,10 +127,14 @@ def scan_result_dir(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_results(spark: SparkSession, root: str) -> DataFrame:
-    """Predictions with their bounds; a file without siblings keeps null bounds."""
+    """Predictions with their bounds; a file without siblings keeps null bounds.
+
+    Of cells stored more than once the first in the order of files and lines counts.
+    """
     keys = ["dataset", "period", "entity", "indicator"]
-    out = scan_matrix(spark, root, "predictions")
+    out = first_row(scan_matrix(spark, root, "predictions"), keys, ["line"]).drop("line")
     for kind in ("lower", "upper"):
         bounds = scan_matrix(spark, root, kind).where("value is not null")
+        bounds = first_row(bounds, keys, ["line"]).drop("line")
         out = out.join(bounds.withColumnRenamed("value", kind), keys, "left")
     return out
