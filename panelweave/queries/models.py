@@ -1,11 +1,15 @@
-"""Penalised linear models of all targets, with their search, residuals, bands and scores."""
+"""Penalised linear models of all targets, with their search, residuals, bands and scores; trees of one."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from panelweave.operators import pairs, profile, ranking, trees
 from panelweave.plans.linear import predictions, year_by_year
 from panelweave.queries import inputs as i
 from panelweave.queries.cells import rounded
 from panelweave.queries.registry import query
+from panelweave.session import cut
 
 i.SQL["lin_choice"] = """lin_choice as (
   select period, target, predictor, strength from (
@@ -101,3 +105,42 @@ def year_by_year_linear(spark, sf):
     panel = i.panel_l(spark, sf)
     out = predictions(year_by_year(panel), panel, i.focus_l(spark, sf))
     return rounded(out, "prediction", "lower", "upper", places=1)
+
+
+def _one_target(spark, sf):
+    """Rows of the target with most missing cells, its four most correlated predictors as columns."""
+    panel = cut(i.panel_l(spark, sf), "panel")
+    order = [F.col("percent_missing").desc(), "period", "indicator"]
+    period, target = (
+        profile.rank_indicators(profile.missingness(panel), 90).orderBy(*order).select("period", "indicator").first()
+    )
+    there = panel.where(F.col("period") == period)
+    near = pairs.nearest_features(pairs.pair_stats(there, ["period"], "entity"), ["period"], 4)
+    names = [r[0] for r in near.where(F.col("target") == target).orderBy("rank").select("predictor").collect()]
+    wide = there.groupBy("entity").pivot("indicator", [target, *names]).agg(F.first("value"))
+    features = [f"x{k}" for k in range(len(names))]
+    rows = wide.toDF("entity", "y", *features)
+    rows = rows.where(" or ".join(f"{c} is not null" for c in features))
+    labelled = ranking.kfold(rows.where("y is not null").withColumn("k", F.lit(0)), ["k"], ["entity"], 5).drop("k")
+    rest = rows.where("y is null").withColumn("fold", F.lit(0))
+    return cut(labelled.unionByName(rest), "one-target"), features
+
+
+def _trained(spark, sf, family):
+    rows, features = _one_target(spark, sf)
+    return trees.train(rows, features, family)
+
+
+@query()
+def model_forest(spark, sf):
+    return _trained(spark, sf, "forest").predictions
+
+
+@query()
+def model_boosting(spark, sf):
+    return _trained(spark, sf, "boosting").predictions
+
+
+@query()
+def importances(spark, sf):
+    return _trained(spark, sf, "forest").importances

@@ -104,3 +104,21 @@ def test_first_row_in_file_order_and_header_variants(spark, tmp_path):
     found = stored[0]["document"].asDict(True)
     assert found["featureImportances"]["2015"] == {"f": 0.7, "g": 0.2}
     assert found["data"]["2015"]["A"] == 9.0 and found["categoryImportances"]["2015"] == {"c": 0.2}
+
+
+def test_trees_of_one_target(spark):
+    from panelweave.operators import trees
+
+    rows = spark.range(120).select(
+        F.col("id").alias("entity"),
+        F.when(F.col("id") % 6 > 0, F.col("id") * 2.0).alias("y"),
+        (F.col("id") % 5).cast("int").alias("fold"),
+        F.when(F.col("id") % 7 > 0, F.col("id") * 1.0).alias("near"),
+        (F.xxhash64("id") % 10).cast("double").alias("noise"),
+    )
+    out = trees.train(rows, ["near", "noise"], "forest", depths=(2, 4))
+    shares = {r["feature"]: r["value"] for r in out.importances.collect()}
+    assert sum(shares.values()) == pytest.approx(1) and shares["near"] > shares["noise"]
+    assert out.predictions.count() == 120 and out.grid.count() == 2
+    with pytest.raises(ValueError):
+        trees.train(rows, ["near"], "other")
