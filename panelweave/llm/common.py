@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from panelweave.session import new_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCHES, BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 #: Words as the contracts have them: runs of anything but a space and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,15 +22,24 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands tasks texts in batches of ``BATCH`` rows, which bounds what a worker holds."""
+    spark.conf.set(BATCHES, str(BATCH))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back; its shuffle files go once it is written."""
     spark = df.sparkSession
-    path, before = new_path(spark, name), spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    path = new_path(spark, name)
+    settings = {CLEANUP: "true", BATCHES: str(BATCH)}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

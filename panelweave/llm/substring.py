@@ -35,7 +35,7 @@ CHUNK, BITS = 1 << 19, 20
 #: Bytes of text for each partition of the hashes.
 PART_BYTES = 8 << 20
 #: Word hashes that a task remembers.
-MEMO = 150_000
+MEMO = 50_000
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 LAST = np.iinfo(np.int64).max
 
@@ -231,7 +231,10 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
         least = np.minimum.reduceat(np.where(aligned, doc, LAST), starts)[group]
         most = np.maximum.reduceat(doc, starts)[group]
         hit = (doc > least) | (aligned & (doc < most))
-        return _by_bucket(doc[hit], pos[hit], parts)
+        out = _by_bucket(doc[hit], pos[hit], parts)
+        del high, doc, pos, order, heads, starts, group, aligned, least, most, hit
+        release()
+        return out
 
     return docs.mapInArrow(probe, BLOBS).groupBy("part").applyInArrow(settle, PLACES)
 
@@ -316,7 +319,10 @@ def repeated_windows(docs: DataFrame, window: int, parts: int) -> DataFrame:
         doc, pos, one, two = doc[order], pos[order], one[order], two[order]
         heads = np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
         again = doc > doc[np.flatnonzero(heads)][np.cumsum(heads) - 1]
-        return _by_bucket(doc[again], pos[again], parts)
+        out = _by_bucket(doc[again], pos[again], parts)
+        del one, two, doc, pos, order, heads, again
+        release()
+        return out
 
     return docs.mapInArrow(probe, BLOBS).groupBy("part").applyInArrow(settle, PLACES)
 
