@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -58,10 +57,6 @@ def scalar_rows(df: DataFrame, by: str) -> dict[int, int]:
     return {r[0]: r[1] for r in df.groupBy(by).agg(F.count(F.lit(1))).collect()}
 
 
-def run_name(prefix: str) -> str:
-    return f"{prefix}-{uuid.uuid4().hex[:12]}"
-
-
 def release() -> None:
     """Gives memory that a task has freed back to the machine, before its worker takes the next."""
     pa.default_memory_pool().release_unused()
