@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelweave.functions import pair_key, result_name_parts, safe_name
-from panelweave.operators import merge, profile, ranking, reshape, rows
+from panelweave.operators import profile, reshape, rows
 from panelweave.operators.pairs import pair_stats
 from panelweave.queries import inputs as i
 from panelweave.queries.registry import query
