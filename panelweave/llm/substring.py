@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,6 +145,12 @@ def _blob(part: int, *columns: bytes) -> list:
     return [part, *columns]
 
 
+def _own_key(parts: int, turn: int) -> int:
+    """A key behind the ``parts`` hashed ones for what a task settles itself, spread over tasks and their turns."""
+    task = TaskContext.get().partitionId()
+    return parts + xxhash.xxh3_64_intdigest(b"%d %d" % (task, turn)) % parts
+
+
 def _emit(rows: list[list]) -> pa.RecordBatch:
     names = [c.split()[0] for c in BLOBS.split(", ")]
     kinds = [pa.int64()] + [pa.binary()] * 5
@@ -192,7 +199,7 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
             sure = (doc > least) | (aligned & (doc < most))
             rows = [
                 _blob(
-                    parts + turn % parts,
+                    _own_key(parts, turn),
                     b"", b"", b"",
                     pos[sure].astype(np.uint32).tobytes(),
                     doc[sure].tobytes(),
@@ -262,7 +269,7 @@ def repeated_windows(docs: DataFrame, window: int, parts: int) -> DataFrame:
             sure = doc > least
             rows = [
                 _blob(
-                    parts + turn % parts,
+                    _own_key(parts, turn),
                     b"", b"", b"",
                     pos[sure].astype(np.uint32).tobytes(),
                     doc[sure].tobytes(),

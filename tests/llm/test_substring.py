@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelweave.llm import substring
 
@@ -58,3 +59,31 @@ def test_empty(docs_of):
     assert substring.digest(docs_of([])).collect() == []
     assert substring.dedup_text(docs_of([])).collect() == []
     assert [tuple(r)[1:3] for r in substring.digest(docs_of([(None, "a b")])).collect()] == [(2, 0)]
+
+
+class Recorder:
+    """Stands in for a table and keeps the function that its rows are to be mapped by."""
+
+    def mapInArrow(self, fn, schema):  # noqa: N802
+        self.fn = fn
+        return self
+
+    def groupBy(self, *by):  # noqa: N802
+        return self
+
+    def applyInArrow(self, fn, schema):  # noqa: N802
+        return self
+
+
+@pytest.mark.parametrize("step", [substring.block_hits, substring.repeated_windows])
+def test_what_tasks_settle_is_dealt_over_the_keys(docs_of, step):
+    parts, tasks = 64, 16
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = docs_of([(k, passage) for k in range(tasks * 4)]).select("doc_id", "text")
+    rows = rows.repartitionByRange(tasks, "doc_id").withColumn("hits", F.expr("X'00000000'"))
+    probe = Recorder()
+    step(probe, 50, parts)
+    keys = rows.select("doc_id", "text", "hits").mapInArrow(probe.fn, substring.BLOBS).where(f"part >= {parts}")
+    found = [r["part"] for r in keys.where("length(pos) > 0").collect()]
+    assert len(found) >= tasks / 2 and max(found) < 2 * parts
+    assert max(found.count(k) for k in found) <= len(found) / 3
