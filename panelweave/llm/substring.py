@@ -178,6 +178,7 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
             off = np.cumsum(lens) - lens
             ids = np.array([x[0] for x in items], np.int64)
             first = np.array([x[1] for x in items], np.int64)
+            split = (first > 0) | (lens >= CHUNK // 2 + window - 1)
             piece = np.repeat(np.arange(len(items)), lens)
             hashes = rolling(np.concatenate([x[2] for x in items]), block)
             at = np.arange(len(hashes))
@@ -205,7 +206,10 @@ def block_hits(docs: DataFrame, window: int, parts: int) -> DataFrame:
                     doc[sure].tobytes(),
                 )
             ]
-            keys, high = keys[doc <= least], high[doc <= least]
+            # A split document may have the run in another chunk too, which must learn of a larger document.
+            goes = doc <= least
+            goes[np.append(starts[1:], len(doc))[np.logical_or.reduceat(split[piece], starts)] - 1] = True
+            keys, high = keys[goes], high[goes]
             part = (high * np.uint64(parts)) >> np.uint64(64 - BITS)
             cuts = np.searchsorted(part, np.arange(parts + 1))
             table_ = ids.tobytes(), first.tobytes() if first.any() else b"", off.astype(np.int32).tobytes()

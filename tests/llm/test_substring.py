@@ -61,6 +61,14 @@ def test_empty(docs_of):
     assert [tuple(r)[1:3] for r in substring.digest(docs_of([(None, "a b")])).collect()] == [(2, 0)]
 
 
+def test_run_again_in_another_chunk_of_a_long_text(docs_of):
+    long = [f"w{k}" for k in range(550_000)]
+    long[525_000:525_025] = long[25:50]  # aligned in the first chunk and in the second
+    rows = [(1, " ".join(long)), (2, " ".join(["a"] + long[1:51] + ["b"]))]
+    got = {r["id"]: tuple(r)[1:3] for r in substring.digest(docs_of(rows).coalesce(1)).collect()}
+    assert got == {1: (550_000, 0), 2: (52, 50)}
+
+
 class Recorder:
     """Stands in for a table and keeps the function that its rows are to be mapped by."""
 
