@@ -34,9 +34,9 @@ LEAST = 2e-3
 ROUNDS, PRIOR, JUDGED = 50, 20.0, 0.999
 BEGINNINGS = (4, 5, 6, 7)
 #: Common words of English, French, Spanish and German, and English insults.
-COMMON = frozenset(
-    """a an and are as at be by for from has he in is it its of on that the this to was were will with
-    au aux ce des du elle en est et il la le les par pas pour qui que sur un une
+ENGLISH = frozenset("a an and are as at be by for from has he in is it its of on that the this to was were will with".split())
+COMMON = ENGLISH | frozenset(
+    """au aux ce des du elle en est et il la le les par pas pour qui que sur un une
     con de del el ella es las lo los no por se su una y
     das dem den der die ein eine im ist mit nicht sich sie und von zu""".split()
 )
@@ -51,6 +51,7 @@ NO_LETTER = bytes(b for b in range(256) if not (chr(b).isascii() and chr(b).isal
 NO_CAPITAL = bytes(b for b in range(256) if not 65 <= b <= 90)
 NO_ODD = bytes(b for b in range(256) if b not in b"#$%&*@^~|<>{}[]\\=+_!")
 COMMON_BYTES = frozenset(w.encode() for w in COMMON)
+ENGLISH_BYTES = frozenset(w.encode() for w in ENGLISH)
 INSULT_BYTES = {w.encode(): re.compile(rb"\b" + w.encode() + rb"\b") for w in sorted(INSULTS)}
 
 
@@ -70,6 +71,7 @@ class Shape:
         self.odd = odd / max(1, letters + odd)
         self.bars = counts[b"|"] / max(1, n)
         self.common = sum(counts[w] for w in COMMON_BYTES & counts.keys()) / max(1, n)
+        self.english = sum(counts[w] for w in ENGLISH_BYTES & counts.keys()) / max(1, n)
         self.same_next = pairs / max(1, n - 1)
         self.same_line = 1 - len(set(lines)) / len(lines) if lines else 0.0
         self.distinct = len(counts) / max(1, n)
@@ -87,6 +89,11 @@ def _bad_if(found: bool) -> int:
     return BAD if found else NONE
 
 
+def _no_insult(s: Shape) -> int:
+    """The insults are English, so their absence says something of English texts only."""
+    return GOOD if not s.insults and s.english > 0.6 * s.common else NONE
+
+
 def _clean(s: Shape) -> int:
     fine = s.capitals < 0.1 and s.odd < 0.02 and s.bars < 0.01 and s.same_next < 0.05 and s.same_line < 0.1
     return GOOD if fine and (s.n < 50 or s.distinct > 0.25) else NONE
@@ -106,7 +113,7 @@ LABELLERS = {
     "toxic": {
         "an insult": lambda s: _bad_if(s.insults == 1),
         "insults": lambda s: _bad_if(s.insults > 1),
-        "no insult": lambda s: GOOD if not s.insults else NONE,
+        "no insult": _no_insult,
     },
 }
 HEADS = tuple(LABELLERS)
@@ -171,18 +178,23 @@ class LabelModel:
     most three to the power of the labellers, whatever the corpus. Not to vote
     says nothing. Labellers start as ten times likelier to be right than wrong,
     which counts as ``PRIOR`` documents of each kind. The judged, who vote last,
-    are not estimated: where they vote they are taken as right in ``JUDGED``.
+    start as right in ``JUDGED`` of their votes, which counts as much as all they judged.
     """
 
     def __init__(self, patterns: dict[str, int]):
         seen = sorted(patterns)
-        cast = np.array([[int(c) for c in p] for p in seen], np.int64).reshape(len(seen), -1 if seen else 1)
-        self.cast, self.told = cast[:, :-1], cast[:, -1]
+        self.cast = cast = np.array([[int(c) for c in p] for p in seen], np.int64).reshape(len(seen), -1 if seen else 1)
         self.n = n = np.array([patterns[p] for p in seen], float)
-        cast = self.cast
         # rates[class, labeller, vote]: share of the class's documents with this vote
         start = np.full((2, cast.shape[1], 2), 0.03)
         start[GOOD, :, GOOD] = start[BAD, :, BAD] = 0.3
+        prior = np.full(cast.shape[1], PRIOR)
+        told = float(n[cast[:, -1] != NONE].sum())
+        share = told / max(1.0, n.sum())
+        if told:
+            start[GOOD, -1] = share * JUDGED, share * (1 - JUDGED)
+            start[BAD, -1] = share * (1 - JUDGED), share * JUDGED
+            prior[-1] = n.sum()
         self.rates, self.bad = start.copy(), 0.1
         for _ in range(ROUNDS if len(seen) else 0):
             p = self._posterior()
@@ -190,7 +202,7 @@ class LabelModel:
             for k, share in ((GOOD, 1 - p), (BAD, p)):
                 for vote in (GOOD, BAD):
                     hits = ((cast == vote) * (n * share)[:, None]).sum(axis=0)
-                    self.rates[k, :, vote] = (hits + PRIOR * start[k, :, vote]) / ((n * share).sum() + PRIOR)
+                    self.rates[k, :, vote] = (hits + prior * start[k, :, vote]) / ((n * share).sum() + prior)
         self.labels = dict(zip(seen, self._posterior().tolist()))
 
     def _posterior(self) -> np.ndarray:
@@ -199,8 +211,7 @@ class LabelModel:
             for vote in (GOOD, BAD):
                 step = np.log(self.rates[BAD, s, vote]) - np.log(self.rates[GOOD, s, vote])
                 odds += np.where(self.cast[:, s] == vote, step, 0.0)
-        p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        return np.where(self.told == BAD, JUDGED, np.where(self.told == GOOD, 1 - JUDGED, p))
+        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
     def accuracies(self) -> np.ndarray:
         """For each labeller the share of its votes that are right, good and bad."""
@@ -223,6 +234,8 @@ def fit_scorer(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray)
     apart = (bad - chance) / np.sqrt(chance + 0.5)
     ratio = np.sign(apart) * np.clip(np.abs(apart) - SURE, 0, MOST)
     w, constant = np.zeros(WIDTH), 0.0
+    if len(labels) and not weights.any():  # nothing to learn but how many are bad
+        constant = float(np.log(labels.mean()) - np.log1p(-labels.mean()))
     order = np.random.default_rng(5)
     for k in range(PASSES):
         step = STEP / (1 + k)
@@ -283,10 +296,13 @@ def fit(
     text_col: str = "text",
     sample: int = SAMPLE,
 ) -> Classifier:
-    """Fits label models on the votes of all rows, and the scorers on at most ``sample`` rows.
+    """Fits label models on the votes of all rows, and the scorers on a sample with posterior labels.
 
-    ``judged`` has (id, low, toxic) with 1 for bad, 0 for good. Where it has rows
-    of ``docs`` the sample is drawn from them by a hash of the id, else from all.
+    ``judged`` has (id, low, toxic) with 1 for bad, 0 for good. By a hash of the id
+    at most ``sample`` rows are drawn of those it has, and as many of the others
+    (``sample`` where it has none), so that judgements keep their weight.
+    A row on which no labeller votes counts for what chance gives alone, so that
+    texts of which labellers know less do not look worse for it.
     An empty table gives scorers that reject nothing.
     """
     cast = written(votes(docs, id_col, text_col, judged), "quality-votes")
@@ -295,10 +311,12 @@ def fit(
     for h in HEADS:
         is_told = is_told | ~F.col(h).endswith(str(NONE))
     known = cast.where("id is not null")
-    told = known.where(is_told)
-    pool = told if told.count() else known
-    chosen = pool.orderBy(F.xxhash64(F.lit(11), "id"), "id").limit(sample)
-    chosen = written(chosen.dropDuplicates(["id"]), "quality-sample")
+    told = min(sample, known.where(is_told).count())
+    drawn = [
+        known.where(pool).orderBy(F.xxhash64(F.lit(11), "id"), "id").limit(most)
+        for pool, most in ((is_told, told), (~is_told, told or sample))
+    ]
+    chosen = written(drawn[0].unionByName(drawn[1]).dropDuplicates(["id"]), "quality-sample")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     labelled = texts.join(chosen, "id").select(F.lit(0).alias("one"), "id", "text", *HEADS)
     labels = {h: m.labels for h, m in models.items()}
@@ -309,8 +327,10 @@ def fit(
         x = [features(Shape(t), slots) for t in rows["text"].to_pylist()]
         w = []
         for h in HEADS:
-            y = np.array([labels[h][p] for p in rows[h].to_pylist()])
-            w.append(fit_scorer(x, y, np.abs(2 * y - 1)))
+            cast = rows[h].to_pylist()
+            y = np.array([labels[h][p] for p in cast])
+            voted = np.array([bool(p.strip(str(NONE))) for p in cast])
+            w.append(fit_scorer(x, y, np.abs(2 * y - 1) * voted))
         out = pa.table({"weights": [np.stack(w).astype(np.float32).tobytes()]})
         del x, rows
         release()

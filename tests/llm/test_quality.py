@@ -71,3 +71,22 @@ def test_empty_and_unjudged(spark, docs_of, texts):
     kept = {r["doc_id"] for r in quality.keep_good(docs, quality.fit(docs)).collect()}
     assert kept >= set(range(len(good)))
     assert sum(k in kept for k in range(len(good), len(good) + len(low))) <= 0.3 * len(low)
+
+
+def test_rows_judged_by_labellers_alone_teach_the_scorer(spark, docs_of, texts):
+    good, low, _ = texts
+    docs = docs_of([(k, t) for k, t in enumerate(good + low)])
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(100)], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in quality.keep_good(docs, quality.fit(docs, quality.judgements(labels))).collect()}
+    assert kept >= set(range(len(good)))
+    assert sum(k in kept for k in range(len(good), len(good) + len(low))) <= 0.3 * len(low)
+
+
+def test_judges_accuracy_is_estimated_and_silence_on_other_languages():
+    patterns = {"1112": 300, "0002": 600, "1111": 90, "0000": 180, "0001": 20, "1110": 10}
+    model = quality.LabelModel(patterns)
+    assert model.accuracies().shape[0] == 4
+    assert 0.8 < model.accuracies()[3][1] < quality.JUDGED
+    no_insult = quality.LABELLERS["toxic"]["no insult"]
+    assert no_insult(quality.Shape("the cat is on the mat")) == quality.GOOD
+    assert no_insult(quality.Shape("el gato es de la casa")) == quality.NONE
