@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from panelweave.llm.bpe import op5_bpe
 from panelweave.llm.embeddings import op4_embeddings
+from panelweave.llm.html_text import op12_html_text
 from panelweave.llm.mixing import op3_mixing
 from panelweave.llm.ngram import op8_lm
 from panelweave.llm.quality import op6_quality
@@ -20,7 +21,7 @@ QUERIES = {
     fn.__name__: fn
     for fn in (
         op1_substring_dedup, op2_warc, op3_mixing, op4_embeddings, op5_bpe, op6_quality, op7_url_filter, op8_lm, op9_spotsigs,
-        op10_simhash, op11_conversation_repair,
+        op10_simhash, op11_conversation_repair, op12_html_text,
     )
 }
 ORACLES: dict[str, str] = {"op2_warc": WARC_SQL, "op7_url_filter": URL_SQL}
