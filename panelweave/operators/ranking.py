@@ -69,8 +69,8 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return ranked.withColumnsRenamed({"upto": "position", "whole": "group_rows"}).drop("weight")
 
 
-def kfold(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int) -> DataFrame:
-    """Contiguous folds 0..k-1; the first ``n mod k`` folds get one row more.
+def kfold(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int, into: str = "fold") -> DataFrame:
+    """Contiguous folds 0..k-1 in the column ``into``; the first ``n mod k`` folds get one row more.
 
     A group smaller than ``k`` gets as many folds as it has rows.
     """
@@ -83,7 +83,7 @@ def kfold(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int) -> D
     )
     return (
         row_numbers(df, keys, order)
-        .withColumn("fold", fold.cast("int"))
+        .withColumn(into, fold.cast("int"))
         .drop("position", "group_rows")
     )
 

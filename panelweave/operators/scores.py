@@ -34,3 +34,10 @@ def normalised_rmse(scores: DataFrame, stats: DataFrame, keys: Sequence[str]) ->
     return scores.join(stats, list(keys)).select(
         *keys, "rmse", F.when(usable, by_mean).otherwise(by_span).alias("nrmse")
     )
+
+
+def out_of_fold_r2(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, r2): one less the squared errors' share of the labels' squared deviations; null where labels are constant."""
+    error = (F.col("y") - F.col("prediction")) * (F.col("y") - F.col("prediction"))
+    deviation = F.nullif(F.count("y") * F.var_pop("y"), F.lit(0.0))
+    return scored.groupBy(*keys).agg((1 - F.sum(error) / deviation).alias("r2"))
