@@ -170,6 +170,40 @@ def _grouped(sums: DataFrame, keys: Sequence[str], columns: str, solve) -> DataF
     return sums.groupBy(*keys).applyInPandas(run, ", ".join([*(f"{k} {types[k]}" for k in keys), columns]))
 
 
+def fit_rows(
+    raw: np.ndarray, weight: np.ndarray, folds: dict[str, np.ndarray], penalties: Sequence[tuple[float, float]],
+    allowed: Sequence[int] | None = None,
+) -> list[tuple]:
+    """Rows of ``FITS`` from the sums of a task's parts; only ``allowed`` predictors have a coefficient, if given."""
+    fill, plain = filled(raw)
+    k = len(fill)
+    use = list(range(k)) if allowed is None else sorted(allowed)
+    at = [0, *(j + 1 for j in use), k + 1]
+    plain = plain[:, at][:, :, at]
+    weighted = plain * weight[:, None, None]
+    inside, outside, names, rest = [weighted.sum(axis=0)], [np.zeros_like(plain[0])], [("all", None)], [plain.sum(axis=0)]
+    for split, label in folds.items():
+        for fold in np.unique(label).tolist():
+            away = label == fold
+            if not away.all():
+                inside.append(weighted[~away].sum(axis=0))
+                outside.append(plain[away].sum(axis=0))
+                rest.append(plain[~away].sum(axis=0))
+                names.append((split, int(fold)))
+    grams, left, out = np.stack(inside), np.stack(outside), []
+    for l1, alpha in penalties:
+        intercept, slopes, scaled = fit(grams, l1, alpha)
+        v = np.column_stack([intercept, slopes, -np.ones(len(slopes))])
+        sse = np.maximum(np.einsum("bi,bij,bj->b", v, left, v), 0.0)
+        wide, standard = np.zeros((len(names), k)), np.zeros((len(names), k))
+        wide[:, use], standard[:, use] = slopes, scaled
+        for b, (split, fold) in enumerate(names):
+            n_out = left[b, 0, 0]
+            out.append((split, fold, l1, alpha, rest[b][0, 0], intercept[b], wide[b].tolist(), fill.tolist(),
+                        standard[b].tolist(), n_out, sse[b] if n_out else None))
+    return out
+
+
 def fits(
     sums: DataFrame, keys: Sequence[str], splits: Sequence[str] = ("fold",), penalties: Sequence[tuple[float, float]] = PENALTIES
 ) -> DataFrame:
@@ -182,31 +216,9 @@ def fits(
     """
 
     def solve(pdf: pd.DataFrame) -> list[tuple]:
-        fill, plain = filled(unpacked(pdf["sums"].tolist(), int(pdf["width"].iloc[0])))
         weight = pdf["weight"].to_numpy(float) if "weight" in pdf else np.ones(len(pdf))
-        weighted = plain * weight[:, None, None]
-        inside, outside, names = [weighted.sum(axis=0)], [np.zeros_like(plain[0])], [("all", None)]
-        rest = [plain.sum(axis=0)]
-        for split in splits:
-            for fold in sorted(pdf[split].unique().tolist()):
-                away = (pdf[split] == fold).to_numpy()
-                if away.all():
-                    continue
-                inside.append(weighted[~away].sum(axis=0))
-                outside.append(plain[away].sum(axis=0))
-                rest.append(plain[~away].sum(axis=0))
-                names.append((split, int(fold)))
-        out = []
-        grams, left = np.stack(inside), np.stack(outside)
-        for l1, alpha in penalties:
-            intercept, slopes, scaled = fit(grams, l1, alpha)
-            v = np.column_stack([intercept, slopes, -np.ones(len(slopes))])
-            sse = np.maximum(np.einsum("bi,bij,bj->b", v, left, v), 0.0)
-            for b, (split, fold) in enumerate(names):
-                n_out = left[b, 0, 0]
-                out.append((split, fold, l1, alpha, rest[b][0, 0], intercept[b], slopes[b].tolist(), fill.tolist(),
-                            scaled[b].tolist(), n_out, sse[b] if n_out else None))
-        return out
+        raw = unpacked(pdf["sums"].tolist(), int(pdf["width"].iloc[0]))
+        return fit_rows(raw, weight, {split: pdf[split].to_numpy() for split in splits}, penalties)
 
     return _grouped(sums, keys, FITS, solve)
 
