@@ -155,7 +155,7 @@ def fit(sums: np.ndarray, l1: float, alpha: float) -> tuple[np.ndarray, np.ndarr
     return mean[:, k] - np.einsum("bk,bk->b", slopes, mean[:, :k]), slopes, beta
 
 
-def _grouped(sums: DataFrame, keys: Sequence[str], columns: str, solve) -> DataFrame:
+def grouped(sums: DataFrame, keys: Sequence[str], columns: str, solve) -> DataFrame:
     """``solve(frame) -> list of rows`` for each key, with the key's columns in front."""
     keys = list(keys)
     types = {f.name: f.dataType.simpleString() for f in sums.schema.fields}
@@ -220,7 +220,7 @@ def fits(
         raw = unpacked(pdf["sums"].tolist(), int(pdf["width"].iloc[0]))
         return fit_rows(raw, weight, {split: pdf[split].to_numpy() for split in splits}, penalties)
 
-    return _grouped(sums, keys, FITS, solve)
+    return grouped(sums, keys, FITS, solve)
 
 
 def grid(fitted: DataFrame, keys: Sequence[str], split: str = "fold") -> DataFrame:
@@ -277,7 +277,7 @@ def eliminated(sums: DataFrame, keys: Sequence[str], keep: int, step: int, alpha
             gone = set(order[len(left) - min(step, len(left) - keep) :].tolist())
             left = [j for p, j in enumerate(left) if p not in gone]
 
-    return _grouped(sums, keys, SELECTED, solve)
+    return grouped(sums, keys, SELECTED, solve)
 
 
 def loadings(sums: DataFrame, keys: Sequence[str], components: int, scale: bool = False) -> DataFrame:
@@ -301,7 +301,7 @@ def loadings(sums: DataFrame, keys: Sequence[str], components: int, scale: bool
             out += [(c + 1, float(values[e]), p, float(v)) for p, v in enumerate(vector)]
         return out
 
-    return _grouped(sums, keys, "component int, eigenvalue double, position int, loading double", solve)
+    return grouped(sums, keys, "component int, eigenvalue double, position int, loading double", solve)
 
 
 def strongest_loadings(loaded: DataFrame, keys: Sequence[str], keep: int) -> DataFrame:

@@ -121,3 +121,22 @@ def members(dim: DataFrame, group: str, label: str) -> DataFrame:
     """The sorted list of labels of each group."""
     distinct = dim.select(group, label).distinct()
     return distinct.groupBy(group).agg(F.sort_array(F.collect_list(label)).alias("members"))
+
+
+def train_split(panel: DataFrame, targets: DataFrame, focus: DataFrame) -> DataFrame:
+    """(period, target, entity, y, in_focus): the observed cells of ``targets(period, indicator)``."""
+    train = only(panel.where("value is not null"), targets, ["period", "indicator"])
+    return mark_focus(train, focus).select(
+        "period", F.col("indicator").alias("target"), "entity", F.col("value").alias("y"), "in_focus"
+    )
+
+
+def predict_split(cells: DataFrame) -> DataFrame:
+    """(period, target, entity) of the densified cells without a value."""
+    return cells.where("value is null").select("period", F.col("indicator").alias("target"), "entity")
+
+
+def window_split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Train and predict rows of ``rows(period, target, window, entity, y, ...)``: every window's labelled rows, and of
+    those without a label the rows whose window is the target period itself."""
+    return rows.where("y is not null"), rows.where("y is null and window = period").drop("y")

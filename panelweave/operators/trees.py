@@ -43,10 +43,14 @@ def train(
 ) -> Trained:
     """Trains on the rows of ``rows(entity, y, fold, features...)`` that have a label; predicts all.
 
-    The depth of least mean RMSE over the folds is refitted on all train rows.
+    The depth of least mean RMSE over the folds is refitted on all train rows. Folds are
+    at most as many as train rows; fewer than two rows cannot be searched.
     """
     spark = rows.sparkSession
     known = rows.where("y is not null")
+    folds = min(folds, known.count())
+    if folds < 2:
+        raise ValueError("fewer than two rows have a label")
     filled = [f"{name}_filled" for name in features]
     estimator = regressor(family, seed).setLabelCol("y").setFeaturesCol("features")
     prepare = Pipeline(stages=[

@@ -430,6 +430,21 @@ def ts_training_frame(spark, sf):
     return features.join(windows, "window").join(labels, ["entity", "window", "target"], "left")
 
 
+@query("""select w.period, w.indicator as target, f.entity from windows_e w cross join (select distinct entity from panel_e) f
+left join panel_e p on p.entity = f.entity and p.period = w.win and p.indicator = w.indicator
+where w.win = w.period and p.value is null""", "windows_e")
+def window_split(spark, sf):
+    """Cells to predict of the time-series form: the target period's window alone."""
+    panel = i.panel_e(spark, sf)
+    windows = series.training_windows(_targets_e(panel), **span(panel)[1]).withColumnRenamed("indicator", "target")
+    labels = panel.select("entity", F.col("period").alias("window"), F.col("indicator").alias("target"), F.col("value").alias("y"))
+    spine = panel.select("entity").distinct().withColumn(
+        "window", F.explode(F.sequence(*(F.lit(p) for p in extent(panel))))
+    )
+    framed = spine.join(windows, "window").join(labels, ["entity", "window", "target"], "left")
+    return rows.window_split(framed)[1].select("period", "target", "entity")
+
+
 # --- folds, quantiles, errors -----------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelweave.operators import design, gram
+from panelweave.operators import design, gram, svr
 from panelweave.operators.pairs import pair_stats
 from panelweave.plans import multilinear
 from panelweave.queries import inputs as i
@@ -194,3 +194,20 @@ def pca_select(spark, sf):
     chosen, sums = _candidates(spark, sf, 30)
     loaded = cut(gram.loadings(sums, design.TARGET, 10), "loadings")
     return _named(chosen, gram.strongest_loadings(loaded, design.TARGET, 10))
+
+
+def _tubed(spark, sf, **settings):
+    """Support vector regression of every target on its ten strongest predictors, in standard units."""
+    panel = cut(i.panel_l(spark, sf), "panel")
+    chosen = design.strongest_predictors(pair_stats(panel, ["period"], "entity"), 10)
+    return svr.fit(design.design(panel, cut(chosen, "predictors"), 10), design.TARGET, **settings)
+
+
+@query()
+def model_svr_linear(spark, sf):
+    return _tubed(spark, sf, epsilon=0.1, steps=15)
+
+
+@query()
+def model_svr_nu(spark, sf):
+    return _tubed(spark, sf, nu=0.5, steps=15)

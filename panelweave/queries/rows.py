@@ -11,7 +11,7 @@ from panelweave.queries import inputs as i
 from panelweave.queries.registry import query
 
 i.NEEDS |= {
-    "keyed": ["panel_l"], "targets": ["panel_l"], "large": ["dense_l"], "predictors": ["panel_l"], "sparse": ["panel_e"],
+    "keyed": ["panel_l"], "targets": ["panel_l"], "large_l": ["dense_l"], "predictors": ["panel_l"], "sparse": ["panel_e"],
 }
 # Cells with null keys, for the key operators.
 i.SQL["keyed"] = """keyed as (
@@ -92,10 +92,7 @@ def _targets(panel, percent=90):
 from panel_l join targets using (period, indicator)""", "panel_l focus_l targets")
 def train_split(spark, sf):
     panel = i.panel_l(spark, sf)
-    train = rows.only(panel, _targets(panel), ["period", "indicator"])
-    return rows.mark_focus(train, i.focus_l(spark, sf)).select(
-        "period", F.col("indicator").alias("target"), "entity", F.col("value").alias("y"), "in_focus"
-    )
+    return rows.train_split(panel, _targets(panel), i.focus_l(spark, sf))
 
 
 @query("""select period, indicator as target, entity
@@ -104,11 +101,11 @@ def predict_split(spark, sf):
     panel = i.panel_l(spark, sf)
     targets = _targets(panel)
     cells = reshape.densify(panel, i.focus_l(spark, sf), targets, ["period", "indicator"])
-    return cells.where("value is null").select("period", F.col("indicator").alias("target"), "entity")
+    return rows.predict_split(cells)
 
 
 # Only large values count here, so that whole rows and columns are empty.
-i.SQL["large"] = """large as (
+i.SQL["large_l"] = """large_l as materialized (
   select entity, indicator, period, case when value >= 9000000 then value end as value from dense_l)"""
 
 
@@ -117,14 +114,16 @@ def _large(spark, sf):
     return cells.withColumn("value", F.when(F.col("value") >= 9000000, F.col("value")))
 
 
-@query("""select * from large where (entity, indicator) in (
-  select (entity, indicator) from large where value is not null)""", "dense_l large")
+@query("""select l.entity, l.indicator, l.period, l.value from large_l l join (
+  select entity, indicator from large_l group by entity, indicator having count(value) > 0) seen
+  on seen.entity = l.entity and seen.indicator = l.indicator""", "dense_l large_l")
 def drop_all_null_rows(spark, sf):
     return rows.drop_all_null_rows(_large(spark, sf))
 
 
-@query("""select * from large where indicator in (
-  select indicator from large where value is not null)""", "dense_l large")
+@query("""select l.entity, l.indicator, l.period, l.value from large_l l join (
+  select indicator from large_l group by indicator having count(value) > 0) seen on seen.indicator = l.indicator""",
+       "dense_l large_l")
 def drop_all_null_cols(spark, sf):
     return rows.drop_all_null_columns(_large(spark, sf), "indicator")
 

@@ -52,7 +52,7 @@ def write_matrices(
     (dataset, period) has its own columns, so lines of CSV are built as text and
     all matrices of a kind are written by one job, as part files in
     ``<kind>/dataset=<d>/period=<p>/``. A matrix of many entities is split over
-    files, each with the header first.
+    files, each with the header first; so is a long importance list.
     """
     key = ["dataset", "period"]
     filled = cut(filled, "matrices")
@@ -87,14 +87,15 @@ def write_matrices(
             .write.mode("overwrite").partitionBy(*key)
             .text(f"{root}/{KINDS[kind][0]}")
         )
+    listed = split_hot(importance, key, ["target", "feature"], rows_per_file)
     (
-        importance.select(
+        listed.repartition(*key, "salt")
+        .select(
             *key,
             F.col("target").alias("predicted indicator"),
             F.col("feature").alias("feature indicator"),
             F.col("value").alias("feature importance"),
         )
-        .repartition(*key)
         .write.mode("overwrite").partitionBy(*key).option("header", True).option("escape", '"')
         .csv(f"{root}/{KINDS['importance'][0]}")
     )

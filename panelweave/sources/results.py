@@ -44,16 +44,29 @@ def result_keys(path: Column) -> tuple[Column, Column]:
     return dataset, period.cast("int")
 
 
+def _width(lines: DataFrame) -> int:
+    """Columns of the widest header at least: one more than the commas of a file's first line.
+
+    Only where that line ends inside quotes, so that the header goes on, are the commas of all
+    lines of the file's first block added up. No other block is read.
+    """
+    commas = F.length("value") - F.length(F.replace("value", F.lit(",")))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    numbered = lines.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), commas.alias("commas"), (quotes % 2).alias("open"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    first = F.min_by(F.struct("commas", "open"), "row").alias("first")
+    per_file = numbered.groupBy("file").agg(first, F.sum("commas").alias("all"))
+    most = F.max(F.when(F.col("first.open") == 1, F.col("all")).otherwise(F.col("first.commas")))
+    return 1 + int(per_file.agg(most).first()[0] or 0)
+
+
 def _records(spark: SparkSession, folder: str, marker: str) -> DataFrame:
     """(dataset, period, line, names, cells) of every CSV record below ``folder``; ``line`` is in file order."""
     dataset, period = result_keys(F.col("file"))
     files = {"recursiveFileLookup": True, "pathGlobFilter": FILES}
-    # Columns of the widest file at most: a quoted line break parts a record into
-    # lines, whose commas are then added up.
-    commas, quotes = F.length("value") - F.length(F.replace("value", F.lit(","))), F.length(
-        "value") - F.length(F.replace("value", F.lit('"')))
-    broken = F.sum(F.when(quotes % 2 == 1, commas).otherwise(0))
-    width = 1 + (spark.read.options(**files).text(folder).agg(F.max(commas) + broken).first()[0] or 0)
+    width = _width(spark.read.options(**files).text(folder))
     names = [f"c{k}" for k in range(width)]
     lines = (
         spark.read.options(**files, multiLine=True, escape='"')
