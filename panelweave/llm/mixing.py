@@ -223,22 +223,34 @@ def mix(
     source_col: str = "source",
     **options,
 ) -> DataFrame:
-    """(id, size, source_size, target, taken) of each row.
+    """(id, size, source_size, target, taken, n_shards, first_shard, placement) of each row.
 
+    The last three tell where the drawn blocks of a document go: how many shards, the first of them, and
+    the exclusive-or of the hashes of each block's shard and place there (nothing taken: 0, null, null).
     A null text has size 0 and nothing is taken of it; a null source is a source
-    of its own, the last. Repeated rows are documents of their own. Reruns give
+    of its own, the last. Texts of any length are counted whole; equal draws go by id, block and row. Repeated rows are documents of their own. Reruns give
     the same rows; an empty table gives an empty one.
     """
     rows = sized(docs, id_col, text_col, source_col)
     sources = plan(rows)
-    taken = draws(rows, sources, **options).groupBy("row").agg(F.sum("words").alias("taken"))
+    taken = draws(rows, sources, **options).groupBy("row").agg(
+        F.sum("words").alias("taken"),
+        F.size(F.collect_set("shard")).cast("long").alias("n_shards"),
+        F.min("shard").alias("first_shard"),
+        F.bit_xor(F.xxhash64("turn", "block", "shard", "place")).alias("placement"),
+    )
     known = rows.sparkSession.createDataFrame(
         [(s, size, aim) for s, _, size, aim in sources], "source string, source_size long, target double"
     )
     return (
         rows.join(known, rows["source"].eqNullSafe(known["source"]))
         .join(taken, "row", "left")
-        .select("id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        .select(
+            "id", "size", "source_size", "target",
+            F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+            F.coalesce("n_shards", F.lit(0)).cast("long").alias("n_shards"),
+            "first_shard", "placement",
+        )
     )
 
 

@@ -79,4 +79,24 @@ def test_documents_of_the_mix(docs_of, corpus):
 def test_empty(docs_of):
     assert mixing.mix(docs_of([])).collect() == []
     assert mixing.mixed_docs(docs_of([])).collect() == []
-    assert [tuple(r) for r in mixing.mix(docs_of([(1, None, None)])).collect()] == [(1, 0, 0, 0.0, 0)]
+    assert [tuple(r) for r in mixing.mix(docs_of([(1, None, None)])).collect()] == [(1, 0, 0, 0.0, 0, 0, None, None)]
+
+
+def test_shards_and_places_make_the_result(docs_of, corpus):
+    """The query's further columns, computed again from the placed blocks one by one."""
+    options = {"block": 16, "shard": 8, "bucket": 5}
+    rows = mixing.sized(docs_of(corpus), "doc_id", "text", "source")
+    drawn = mixing.draws(rows, mixing.plan(rows), **options).toPandas()
+    want = {}
+    for (doc,), part in drawn.groupby(["id"]):
+        want[doc] = (int(part["words"].sum()), part["shard"].nunique(), int(part["shard"].min()))
+    got = {r["id"]: (r["taken"], r["n_shards"], r["first_shard"]) for r in mixing.mix(docs_of(corpus), **options).collect()}
+    assert {d: g for d, g in got.items() if g[0]} == want and max(g[1] for g in got.values()) > 3
+    placed = {r["id"]: r["placement"] for r in mixing.mix(docs_of(corpus), **options).collect() if r["taken"]}
+    other = {r["id"]: r["placement"] for r in mixing.mix(docs_of(corpus), **{**options, "shard": 16}).collect() if r["taken"]}
+    assert len(set(placed.values())) == len(placed) and sum(placed[d] != other[d] for d in placed) > 0.9 * len(placed)
+
+
+def test_a_very_long_text(docs_of):
+    (r,) = mixing.mix(docs_of([(1, "word " * 300_000)])).collect()
+    assert (r["size"], r["taken"], r["first_shard"]) == (300_000, 300_000, 0)
