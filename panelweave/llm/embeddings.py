@@ -23,7 +23,8 @@ from panelweave.llm.common import table, unite, written
 from panelweave.llm.components import components
 
 COSINE = 0.9
-#: Vectors of a cell aimed at, cells at most, vectors the centres are fitted on, rounds, vectors of a slice.
+#: Vectors of a cell aimed at, cells at least and at most, vectors the centres are fitted on, rounds, vectors of a slice.
+LEAST_CELLS = 4
 CELL, MOST_CELLS, SAMPLE, ROUNDS, SLICE = 2_000, 4_096, 20_000, 6, 2_048
 CELLS = 1 << 20
 
@@ -39,8 +40,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def centres(classes: DataFrame, size: int, rows: int, seed: int = 7) -> np.ndarray:
     """Unit centres of spherical k-means on at most SAMPLE vectors of ``size`` numbers, drawn by a hash of the id."""
-    cells = min(MOST_CELLS, -(-rows // CELL))
-    if cells < 2:
+    cells = min(MOST_CELLS, max(LEAST_CELLS, -(-rows // CELL)))
+    if rows <= cells:
         return np.eye(1, size)
     sample = classes.where(F.size("v") == size).orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(SAMPLE)
     sample = written(sample.select(array_to_vector("v").alias("features")), "embedding-sample")

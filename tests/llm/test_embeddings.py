@@ -54,3 +54,8 @@ def test_repeated_rows_and_empty(spark, rows):
     want = brute(rows[:20])
     assert sorted(got, key=str) == sorted([(v, *want[v]) for v, _ in some[:-1]] + [(None, 0, None, True)], key=str)
     assert embeddings.near_vectors(table(spark, [])).collect() == []
+
+
+def test_cells_are_fitted_at_every_size(spark, rows):
+    classes = embeddings.usable(table(spark, rows), "vec_id", "embedding").where("size(v) = 16").withColumnRenamed("id", "node")
+    assert len(embeddings.centres(classes, 16, classes.count())) > 1
