@@ -217,12 +217,16 @@ def near_groups(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: DataFrame | None = None
+) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id, once.
 
+    ``groups(id, component)`` says which; without it they are those of ``near_groups``.
     Rows without an id belong to no group and stay.
     """
-    groups = near_groups(docs, id_col, text_col)
+    if groups is None:
+        groups = near_groups(docs, id_col, text_col)
     drop = groups.where("id <> component").select(F.col("id").alias(id_col)).distinct()
     stays = docs.join(drop, id_col, "left_anti").select(docs.columns)
     return stays.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(
