@@ -42,6 +42,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with as many underscores after them as it takes to clash with no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The texts of an Arrow column as bytes, without decoding them."""
     return column.cast(pa.binary()).to_pylist()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import WORD, table, written
+from panelweave.llm.common import WORD, fresh, table, written
 
 WEIGHTS, MOST_REPEATS, SEED = (1, 2, 3), 3, 17
 #: Words of a block, blocks of a shard, and blocks of one sorted bucket.
@@ -265,12 +265,14 @@ def mixed_docs(
 
     A row's text is what the pass draws of it: all of it, unchanged, or its drawn
     blocks in their order. ``n_chars``, if there is such a column, follows the text.
+    Other columns are kept, whatever their names.
     """
     block = options.get("block", BLOCK)
-    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
+    row_col, turn_col, words_col, blocks_col = fresh(docs, "__row", "__turn", "__words", "__blocks")
+    numbered = written(docs.withColumn(row_col, F.monotonically_increasing_id()), "mix-docs")
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     rows = numbered.select(
-        F.col("__row").alias("row"),
+        F.col(row_col).alias("row"),
         F.col(id_col).cast("long").alias("id"),
         F.col(source_col).alias("source"),
         size.alias("size"),
@@ -278,8 +280,8 @@ def mixed_docs(
     rows = written(rows, "mix-sizes")
     drawn = (
         draws(rows, plan(rows), **options)
-        .groupBy(F.col("row").alias("__row"), F.col("turn").alias("__turn"))
-        .agg(F.sum("words").alias("__words"), F.collect_list(F.struct("block", "words")).alias("__blocks"))
+        .groupBy(F.col("row").alias(row_col), F.col("turn").alias(turn_col))
+        .agg(F.sum("words").alias(words_col), F.collect_list(F.struct("block", "words")).alias(blocks_col))
     )
 
     @F.pandas_udf("string")
@@ -293,7 +295,7 @@ def mixed_docs(
             out.append(t)
         return pd.Series(out)
 
-    out = numbered.join(drawn, "__row").withColumn(text_col, pick(text_col, "__words", "__blocks"))
+    out = numbered.join(drawn, row_col).withColumn(text_col, pick(text_col, words_col, blocks_col))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

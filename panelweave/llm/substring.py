@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import Memo, release, table, utf8, words_of, written
+from panelweave.llm.common import Memo, fresh, release, table, utf8, words_of, written
 
 WINDOW = 50
 #: Words that are hashed together, and the bits that number them behind a hash.
@@ -381,6 +381,7 @@ def dedup_text(
 
     Texts without a repeat stay as they are; documents of which no word is left
     go. ``n_chars``, if there is such a column, follows the text.
+    Other columns are kept, whatever their names.
     """
 
     @F.pandas_udf("string")
@@ -389,17 +390,18 @@ def dedup_text(
             [t if h is None or t is None else kept_text(t, h, window) for t, h in zip(text, hits)]
         )
 
+    own_col, hits_col = fresh(docs, "__id", "__hits")
     hits = repeats(docs, id_col, text_col, window).select(
-        F.col("id").alias("__id"), F.col("hits").alias("__hits")
+        F.col("id").alias(own_col), F.col("hits").alias(hits_col)
     )
-    joined = docs.join(hits, docs[id_col] == hits["__id"], "left")
+    joined = docs.join(hits, docs[id_col] == hits[own_col], "left")
     out = joined.withColumn(
-        text_col, F.when(F.col("__hits").isNull(), F.col(text_col)).otherwise(cut(text_col, "__hits"))
-    ).where(F.col("__hits").isNull() | (F.col(text_col) != ""))
+        text_col, F.when(F.col(hits_col).isNull(), F.col(text_col)).otherwise(cut(text_col, hits_col))
+    ).where(F.col(hits_col).isNull() | (F.col(text_col) != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn(
             "n_chars",
-            F.when(F.col("__hits").isNull(), F.col("n_chars")).otherwise(
+            F.when(F.col(hits_col).isNull(), F.col("n_chars")).otherwise(
                 F.length(text_col).cast(docs.schema["n_chars"].dataType)
             ),
         )

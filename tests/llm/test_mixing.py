@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from panelweave.llm import mixing
 
 
@@ -100,3 +102,13 @@ def test_shards_and_places_make_the_result(docs_of, corpus):
 def test_a_very_long_text(docs_of):
     (r,) = mixing.mix(docs_of([(1, "word " * 300_000)])).collect()
     assert (r["size"], r["taken"], r["first_shard"]) == (300_000, 300_000, 0)
+
+
+def test_clashing_names(docs_of, corpus):
+    docs = docs_of(corpus)
+    for name in ("__row", "__turn", "__words", "__BLOCKS"):
+        docs = docs.withColumn(name, F.lit(7))
+    out = mixing.mixed_docs(docs)
+    assert out.columns == docs.columns
+    assert {tuple(r)[-4:] for r in out.collect()} == {(7, 7, 7, 7)}
+    assert out.count() == mixing.mixed_docs(docs_of(corpus)).count()

@@ -95,3 +95,12 @@ def test_what_tasks_settle_is_dealt_over_the_keys(docs_of, step):
     found = [r["part"] for r in keys.where("length(pos) > 0").collect()]
     assert len(found) >= tasks / 2 and max(found) < 2 * parts
     assert max(found.count(k) for k in found) <= len(found) / 3
+
+
+def test_clashing_names(docs_of, corpus):
+    plain, docs = docs_of(corpus), docs_of(corpus)
+    for name in ("__id", "__HITS"):
+        docs = docs.withColumn(name, F.lit(7))
+    out = substring.dedup_text(docs)
+    assert out.columns == docs.columns and {tuple(r)[-2:] for r in out.collect()} == {(7, 7)}
+    assert sorted(map(str, out.select(plain.columns).collect())) == sorted(map(str, substring.dedup_text(plain).collect()))
