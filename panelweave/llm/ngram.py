@@ -35,7 +35,8 @@ PULL, STEP = 200.0, 24 / 65535
 MEMO = 150_000
 #: The hash of the end of a text; no word holds a space.
 END = xxhash.xxh3_64_intdigest(b" ")
-NO_ID = -(1 << 63)
+#: Stands for a row: 96 bits of its id and text, so that only equal rows share one.
+ROW = np.dtype([("key", "<i8"), ("tag", "<i4")])
 
 
 def hashes_of(text: bytes | None, memo: Memo) -> np.ndarray:
@@ -47,18 +48,18 @@ def hashes_of(text: bytes | None, memo: Memo) -> np.ndarray:
     return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bool, int, np.ndarray]]]:
-    """Lists of (key, held out, start, hashes) of about CHUNK tokens; long texts in parts."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[tuple[int, int], bool, int, np.ndarray]]]:
+    """Lists of (row, held out, start, hashes) of about CHUNK tokens; long texts in parts."""
     memo = Memo(xxhash.xxh3_64_intdigest, MEMO)
     items, total = [], 0
     for batch in batches:
-        keys, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for key, out, text in zip(keys, held, utf8(batch.column(2))):
+        key, tag, held = (batch.column(k).to_pylist() for k in range(3))
+        for row, out, text in zip(zip(key, tag), held, utf8(batch.column(3))):
             hashes = hashes_of(text, memo)
             for start in range(0, len(hashes), CHUNK):
                 # from the second part on with the token before it
                 part = hashes[max(0, start - 1) : start + CHUNK]
-                items.append((key, out, start, part))
+                items.append((row, out, start, part))
                 total += len(part)
                 if total >= CHUNK:
                     yield items
@@ -110,15 +111,18 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 def _train_rows(docs: DataFrame, id_col: str, text_col: str, modulus: int, remainder: int) -> DataFrame:
     text_of_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    row = F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
+        row[0].alias("id"),
+        F.xxhash64(*row).alias("key"),
+        F.hash(*row).alias("tag"),
         (F.crc32(text_of_id) % modulus == remainder).alias("held"),
         F.col(text_col).alias("text"),
     )
 
 
 def build_vocabulary(rows: DataFrame, folder: str, parts: int) -> Vocabulary:
-    """Level one of (key, held, text): the rows that are not held out, all of them."""
+    """Level one of (key, tag, held, text): the rows that are not held out, all of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for items in _chunks(batches):
@@ -142,7 +146,7 @@ def build_vocabulary(rows: DataFrame, folder: str, parts: int) -> Vocabulary:
         save(path, EliasFano.build(found, 1 << 64).arrays("hashes") | {"counts": counts})
         return pa.table({"part": [key[0].as_py()], "path": [path], "tokens": [len(found)], "total": [int(counts.sum())]})
 
-    blobs = rows.where("not held").mapInArrow(count, "part long, hashes binary, n binary")
+    blobs = rows.where("not held").select(*TEXTS).mapInArrow(count, "part long, hashes binary, n binary")
     made = written(
         blobs.groupBy("part").applyInArrow(level, "part long, path string, tokens long, total long"), "lm-tokens"
     )
@@ -201,15 +205,27 @@ class Shard:
         return out
 
 
+TEXTS = ("key", "tag", "held", "text")
 SUMS = "bucket long, keys binary, sums binary"
 FIELDS = ("rows", "n_tokens", "n_known", "base_score", "score")
 
 
-def _sums(keys: np.ndarray, values: np.ndarray, buckets: int) -> pa.Table:
-    """Sums for each key as packed arrays, a row for each bucket of keys."""
-    found, where = np.unique(keys, return_inverse=True)
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of an array of ``ROW``, and where among them each is."""
+    order = np.lexsort((keys["tag"], keys["key"]))
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys["key"][1:] != keys["key"][:-1]) | (keys["tag"][1:] != keys["tag"][:-1])
+    where = np.empty(len(keys), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return keys[new], where
+
+
+def _sums(keys: np.ndarray, values: list[np.ndarray], buckets: int) -> pa.Table:
+    """Sums for each row as packed arrays, a line for each bucket of rows."""
+    found, where = _distinct(keys)
     total = np.stack([np.bincount(where, v, len(found)) for v in values], axis=1)
-    bucket = _spread(found.view(np.uint64)) % np.uint64(buckets)
+    bucket = _spread(found["key"].astype(np.uint64)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     found, total = found[order], total[order]
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -232,8 +248,10 @@ def scores(
 
     The model learns from all rows but those whose crc32 of the id as text leaves
     ``remainder``. A null text is empty and has the end as its one token; a row
-    without an id counts as one whose id is an empty text. Repeated rows are
-    learnt from each and get the same scores. The levels are left in ``folder``.
+    without an id counts as one whose id is an empty text. Each row is scored by
+    its own text, also where ids are null or repeated; repeated rows are learnt
+    from each and get the same scores. Very long texts are read whole, in parts.
+    The levels are left in ``folder``.
     Other columns of ``docs`` are not read; an empty table gives an empty one.
     """
     spark = docs.sparkSession
@@ -269,7 +287,7 @@ def scores(
             # what no shard can know: unknown words, and words behind unknown ones
             alone = (token == unknown) | (before == unknown) | (n_before == 0)
             own_score = np.where(alone, base + np.log10(PULL / (n_before + PULL)), 0.0)
-            keys = np.array([k for k, *_ in items], np.int64)
+            keys = np.array([k for k, *_ in items], ROW)
             held = np.array([h for _, h, *_ in items])
             values = [first.astype(float)] + [
                 np.bincount(doc, v, len(items)) for v in (np.ones(len(doc)), n > 0, base, own_score)
@@ -305,16 +323,18 @@ def scores(
     def settle(key: tuple, blobs: pa.Table) -> pa.Table:
         part = key[0].as_py()
         if part >= shards:
-            keys = [np.frombuffer(b, np.int64) for b in blobs["keys"].to_pylist()]
+            keys = [np.frombuffer(b, ROW) for b in blobs["keys"].to_pylist()]
             values = [np.frombuffer(b, float).reshape(5, -1) for b in blobs["values"].to_pylist()]
             return _sums(np.concatenate(keys), np.concatenate(values, axis=1), shards)
-        pairs, rows_, times, held = [], [], [], []
+        pairs, rows_, times, held, keys, docs_ = [], [], [], [], [], 0
         for p, d, t, h, k in zip(*(blobs[c].to_pylist() for c in ("pairs", "doc", "times", "held", "keys"))):
             raw = np.zeros((len(p) // wide, 8), np.uint8)
             raw[:, :wide] = np.frombuffer(p, np.uint8).reshape(-1, wide)
             pairs.append(raw.view(np.uint64)[:, 0])
             index = np.frombuffer(d, np.uint16 if len(d) == 2 * len(raw) else np.uint32)
-            rows_.append(np.frombuffer(k, np.int64)[index])
+            rows_.append(index.astype(np.int64) + docs_)
+            keys.append(np.frombuffer(k, ROW))
+            docs_ += len(keys[-1])
             held.append(np.frombuffer(h, bool)[index])
             times.append(np.frombuffer(t, np.uint8 if len(t) == len(raw) else np.uint32).astype(np.int64))
         pairs, rows_, times, held = map(np.concatenate, (pairs, rows_, times, held))
@@ -331,26 +351,26 @@ def scores(
         save(path, Shard.arrays(before[learnt], token[learnt], score[learnt], words + 2))
         looked = Shard(load(path)).find(before, token)
         score = np.where(np.isnan(looked), np.log10(PULL * one / (behind + PULL)), looked)
-        zero = np.zeros(len(rows_))
-        return _sums(rows_, [zero, zero, zero, zero, score[where] * times], shards)
+        zero = np.zeros(docs_)
+        of_row = np.bincount(rows_, score[where] * times, docs_)
+        return _sums(np.concatenate(keys), [zero, zero, zero, zero, of_row], shards)
 
     def finish(sums: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(b, np.int64) for b in sums["keys"].to_pylist()])
+        keys = np.concatenate([np.frombuffer(b, ROW) for b in sums["keys"].to_pylist()])
         values = np.concatenate([np.frombuffer(b, float).reshape(-1, 5) for b in sums["sums"].to_pylist()])
-        found, where = np.unique(keys, return_inverse=True)
+        found, where = _distinct(keys)
         total_ = np.stack([np.bincount(where, values[:, k], len(found)) for k in range(5)])
         total_[1:] /= total_[0]
-        return pa.table({"key": found} | {
+        return pa.table({c: np.ascontiguousarray(found[c]) for c in ROW.names} | {
             f: np.round(total_[k]).astype(np.int64) if k < 3 else total_[k] for k, f in enumerate(FIELDS)
         })
 
     names = "part long, pairs binary, doc binary, times binary, held binary, keys binary, values binary"
-    sums = rows.mapInArrow(deal, names).groupBy("part").applyInArrow(settle, SUMS)
+    sums = rows.select(*TEXTS).mapInArrow(deal, names).groupBy("part").applyInArrow(settle, SUMS)
     kinds = ", ".join(f"{f} {'long' if k < 3 else 'double'}" for k, f in enumerate(FIELDS))
-    found = written(sums.groupBy("bucket").applyInArrow(finish, f"key long, {kinds}"), "lm-scores")
-    return rows.select("key", "held").join(found, "key").select(
-        F.when(F.col("key") != NO_ID, F.col("key")).alias("id"),
-        "held", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score",
+    found = written(sums.groupBy("bucket").applyInArrow(finish, f"key long, tag int, {kinds}"), "lm-scores")
+    return rows.select("id", "key", "tag", "held").join(found, [*ROW.names]).select(
+        "id", "held", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score",
     )
 
 

@@ -66,7 +66,7 @@ def brute(rows):
 
 
 def same(got, want):
-    got, want = (sorted(x, key=lambda r: (r[0] is None, r[0] or 0)) for x in (got, want))
+    got, want = (sorted(x, key=lambda r: (r[0] is None, r[0] or 0, r[2], r[6])) for x in (got, want))
     assert [tuple(r)[:5] for r in got] == [r[:5] for r in want]
     for g, w in zip(got, want):
         assert g[5] == pytest.approx(w[5], abs=1e-6)
@@ -85,6 +85,13 @@ def test_small_chunks_and_shards(docs_of, corpus, monkeypatch):
     same(ngram.scores(docs_of(corpus), shard_tokens=900, hot=40).collect(), brute(corpus))
 
 
+def test_rows_of_null_and_repeated_ids_have_scores_of_their_own(docs_of):
+    rows = [(None, "a b c d"), (None, "a"), (None, None), (5, "a b"), (5, "a b c a b"), (5, "a b"), (7, "b a " * 400)]
+    got = ngram.scores(docs_of(rows), shard_tokens=300, hot=40).collect()
+    assert sorted(r.n_tokens for r in got if r.id is None) == [1, 2, 5]
+    same(got, brute(rows))
+
+
 def test_empty(docs_of):
     assert ngram.scores(docs_of([])).collect() == []
     only_held = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 7 == 2)
