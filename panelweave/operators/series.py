@@ -120,3 +120,18 @@ def training_windows(
 
 def recency_weight(target: str, window: str) -> Column:
     return F.lit(1.0) / (1 + F.col(target) - F.col(window))
+
+
+def labelled_windows(spine: DataFrame, windows: DataFrame, panel: DataFrame) -> DataFrame:
+    """Rows of ``spine(entity, window, ...)`` for each of ``windows(window, target, ...)``, with the target's value ``y`` in the window.
+
+    ``panel`` holds each cell once. An entity's values of a window are one map that meets the
+    spine before windows multiply its rows, so no shuffle carries a row per target period.
+    """
+    labels = (
+        panel.where("indicator is not null")
+        .groupBy("entity", F.col("period").alias("window"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("indicator", "value"))).alias("labels"))
+    )
+    framed = spine.join(labels, ["entity", "window"], "left").join(F.broadcast(windows), "window")
+    return framed.withColumn("y", F.try_element_at("labels", "target")).drop("labels")

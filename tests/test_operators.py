@@ -122,3 +122,23 @@ def test_trees_of_one_target(spark):
     assert out.predictions.count() == 120 and out.grid.count() == 2
     with pytest.raises(ValueError):
         trees.train(rows, ["near"], "other")
+
+
+def test_labelled_windows_shuffle_no_row_per_target_period(spark):
+    from panelweave.operators import series
+
+    spine = spark.createDataFrame([(1, 5, 2.0), (1, 6, 3.0), (None, 5, 4.0)], "entity long, window int, low double")
+    windows = spark.createDataFrame([(p, "a", 5) for p in (7, 8)] + [(7, "b", 6), (7, None, 6)], "period int, target string, window int")
+    panel = spark.createDataFrame(
+        [(1, "a", 5, 1.5), (1, None, 6, 9.0), (None, "a", 5, 7.0)], "entity long, indicator string, period int, value double"
+    )
+    framed = series.labelled_windows(spine, windows, panel)
+    found = sorted(((r.entity or 0, r.window, r.target or "", r.period, r.y or 0.0) for r in framed.collect()))
+    assert found == [(0, 5, "a", 7, 0.0), (0, 5, "a", 8, 0.0), (1, 5, "a", 7, 1.5), (1, 5, "a", 8, 1.5), (1, 6, "", 7, 0.0), (1, 6, "b", 7, 0.0)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = series.labelled_windows(spine, windows, panel)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the join that multiplies rows is the last one and moves none of them
+    assert plan.index("BroadcastHashJoin [window") < plan.index("SortMergeJoin")
