@@ -10,7 +10,7 @@ from panelweave.plans.restructure import restructure as restructure_results
 from panelweave.queries import inputs as i
 from panelweave.queries.cells import given_documents, given_results
 from panelweave.queries.registry import query
-from panelweave.session import new_path
+from panelweave.session import cut, new_path
 from panelweave.sinks import writers
 from panelweave.sources import documents as doc_source
 from panelweave.sources import observations, results
@@ -19,12 +19,12 @@ from panelweave.sources import observations, results
 def _write_folder(spark, sf) -> str:
     """The three input files of a run, made from the given tables."""
     folder = new_path(spark, "input")
-    panel = i.panel_l(spark, sf)
+    panel = cut(i.panel_l(spark, sf), "panel")
     wide = reshape.pivot_panel(panel, ["entity", "indicator"], label="period")
     wide.withColumnsRenamed({"entity": "Country Code", "indicator": "Indicator Code"}).write.option(
         "header", True
     ).csv(f"{folder}/indicatorData.csv")
-    dim = i.dim_of(panel)
+    dim = cut(i.dim_of(panel), "dim")
     dim.select(
         F.col("indicator").alias("Indicator Code"), F.col("name").alias("Indicator"),
         F.col("dataset").alias("Dataset"), F.col("category").alias("Category"),

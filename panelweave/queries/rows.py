@@ -9,6 +9,7 @@ from panelweave.operators import profile, reshape, rows
 from panelweave.operators.pairs import pair_stats
 from panelweave.queries import inputs as i
 from panelweave.queries.registry import query
+from panelweave.session import cut
 
 i.NEEDS |= {
     "keyed": ["panel_l"], "targets": ["panel_l"], "large_l": ["dense_l"], "predictors": ["panel_l"], "sparse": ["panel_e"],
@@ -184,7 +185,7 @@ def dataset_lookup(spark, sf):
 
 
 def _wide(spark, sf):
-    panel = i.panel_l(spark, sf)
+    panel = cut(i.panel_l(spark, sf), "panel")
     periods = reshape.column_labels(panel, "period")
     return reshape.pivot_panel(panel, ["entity", "indicator"], periods, label="period"), periods
 
@@ -210,7 +211,7 @@ _COLUMNS = ", ".join(f"'Brand#{k}-{flag}'" for k in range(1, 26) for flag in "AN
 
 @query(f"select * from (pivot panel_l on indicator in ({_COLUMNS}) using first(value) group by entity, period)", "panel_l")
 def pivot_panel(spark, sf):
-    return reshape.pivot_panel(i.panel_l(spark, sf))
+    return reshape.pivot_panel(cut(i.panel_l(spark, sf), "panel"))
 
 
 @query("select * from dense_l", "dense_l")

@@ -142,3 +142,12 @@ def test_labelled_windows_shuffle_no_row_per_target_period(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # the join that multiplies rows is the last one and moves none of them
     assert plan.index("BroadcastHashJoin [window") < plan.index("SortMergeJoin")
+
+
+def test_pivot_parts_follow_the_size(spark):
+    from panelweave.operators import reshape
+
+    panel = spark.range(4000).selectExpr("id div 4 as entity", "cast(id div 4 % 7 as int) as period", "concat('i', id % 4) as indicator", "double(id) as value")
+    wide = reshape.pivot_panel(panel, part=100)
+    assert wide.rdd.getNumPartitions() == 40
+    assert wide.where("i3 = 4 * entity + 3 and i0 = 4 * entity").count() == 1000
