@@ -48,28 +48,29 @@ def scan_meta(spark, sf):
     return indicators.join(datasets.withColumnRenamed("name", "dataset_name"), "dataset")
 
 
-def _write_results(spark, sf) -> str:
+def _write_results(spark, sf):
+    """(folder of the stored matrices, dimension of their indicators)."""
     root = new_path(spark, "results")
-    filled, importance, _ = given_results(spark, sf)
+    filled, importance, dim = given_results(spark, sf)
     writers.write_matrices(filled, importance.withColumnRenamed("indicator", "target"), root)
-    return root
+    return root, dim
 
 
 @query("select distinct dataset, period from cells_l", "cells_l")
 def scan_result_dir(spark, sf):
-    return results.scan_result_dir(spark, _write_results(spark, sf))
+    return results.scan_result_dir(spark, _write_results(spark, sf)[0])
 
 
 @query("select dataset, period, entity, indicator, value, lower, upper from cells_l", "cells_l")
 def scan_results(spark, sf):
-    read = results.scan_results(spark, _write_results(spark, sf)).where("value is not null")
+    read = results.scan_results(spark, _write_results(spark, sf)[0]).where("value is not null")
     return read.withColumn("entity", F.col("entity").cast("long"))
 
 
 @query("""select d.dataset, t.period, t.target, t.feature, t.value
 from importance_given t join dim_l d on t.target = d.indicator""", "importance_given dim_l")
 def sink_matrix(spark, sf):
-    return results.scan_importance(spark, _write_results(spark, sf)).drop("line")
+    return results.scan_importance(spark, _write_results(spark, sf)[0]).drop("line")
 
 
 @query("select 'mean' as model, entity, indicator, period, prediction, lower, upper from pred_given", "pred_given")
@@ -121,8 +122,7 @@ def build_docs(spark, sf):
 
 @query("select * from docs_l", "docs_l")
 def restructure(spark, sf):
-    root, out = _write_results(spark, sf), new_path(spark, "documents")
-    dim = i.dim_of(i.panel_l(spark, sf))
+    (root, dim), out = _write_results(spark, sf), new_path(spark, "documents")
     restructure_results(spark, root, dim, out, "model1")
     return _read_documents(spark, out)
 

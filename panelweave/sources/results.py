@@ -6,10 +6,10 @@ are bound to the header of their own file by name, in one scan per kind.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelweave.operators.rows import first_row
+from panelweave.session import cut
 
 # Folder and file-name part of each kind of stored matrix.
 KINDS = {
@@ -20,6 +20,8 @@ KINDS = {
 }
 # Columns of a stored matrix that are not indicators.
 ID_COLUMNS = ("", "Country Code", "year", "Unnamed: 0", "Unnamed: 1")
+# Records of a task, whose numbers Spark's row ids count below their task's.
+IN_FILE = 1 << 33
 # Stored matrices are CSV files; the sink's lines are CSV in text files.
 FILES = "*.{csv,txt}"
 
@@ -63,7 +65,11 @@ def _width(lines: DataFrame) -> int:
 
 
 def _records(spark: SparkSession, folder: str, marker: str) -> DataFrame:
-    """(dataset, period, line, names, cells) of every CSV record below ``folder``; ``line`` is in file order."""
+    """(dataset, period, line, names, cells) of every CSV record below ``folder``.
+
+    ``line`` is a number in the order of files and lines: the place of the file, then the record's in it.
+    Files with quoted line ends are not cut, so one task numbers all of a file.
+    """
     dataset, period = result_keys(F.col("file"))
     files = {"recursiveFileLookup": True, "pathGlobFilter": FILES}
     width = _width(spark.read.options(**files).text(folder))
@@ -74,19 +80,18 @@ def _records(spark: SparkSession, folder: str, marker: str) -> DataFrame:
         .csv(folder)
         .select(
             F.col("_metadata.file_path").alias("file"),
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias("line"),
+            (F.monotonically_increasing_id() % IN_FILE).alias("row"),
             F.array(*(F.coalesce(F.trim(n), F.lit("")) for n in names)).alias("cells"),
         )
     )
     is_header = F.array_contains("cells", marker)
     headers = lines.where(is_header).groupBy("file").agg(F.first("cells").alias("names"))
+    place = (F.row_number().over(Window.orderBy("file")) * IN_FILE).alias("place")
+    headers = cut(headers, "headers")  # a row for each file
     return (
         lines.where(~is_header)
-        .join(headers, "file")
+        .join(headers.join(headers.select("file", place), "file"), "file")
+        .withColumn("line", F.col("place") + F.col("row"))
         .select(dataset.alias("dataset"), period.alias("period"), "line", "names", "cells")
     )
 
@@ -145,9 +150,12 @@ def scan_results(spark: SparkSession, root: str) -> DataFrame:
     Of cells stored more than once the first in the order of files and lines counts.
     """
     keys = ["dataset", "period", "entity", "indicator"]
-    out = first_row(scan_matrix(spark, root, "predictions"), keys, ["line"]).drop("line")
+
+    def first(cells: DataFrame, name: str) -> DataFrame:
+        """A number by a number, which is summed up in hash maps and not sorted as structs are."""
+        return cells.groupBy(*keys).agg(F.min_by("value", "line").alias(name))
+
+    out = first(scan_matrix(spark, root, "predictions"), "value")
     for kind in ("lower", "upper"):
-        bounds = scan_matrix(spark, root, kind).where("value is not null")
-        bounds = first_row(bounds, keys, ["line"]).drop("line")
-        out = out.join(bounds.withColumnRenamed("value", kind), keys, "left")
+        out = out.join(first(scan_matrix(spark, root, kind).where("value is not null"), kind), keys, "left")
     return out
