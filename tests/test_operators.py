@@ -151,3 +151,37 @@ def test_pivot_parts_follow_the_size(spark):
     wide = reshape.pivot_panel(panel, part=100)
     assert wide.rdd.getNumPartitions() == 40
     assert wide.where("i3 = 4 * entity + 3 and i0 = 4 * entity").count() == 1000
+
+
+def test_nearest_donors_are_exact_over_blocks_and_ties(spark):
+    import numpy as np
+    import pandas as pd
+
+    from panelweave.operators import neighbours
+
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random((300, 4)), 1)  # tenths, so that many distances are equal
+    x[rng.random(x.shape) < 0.4] = np.nan
+    x[rng.random(300) < 0.9, 3] = np.nan  # a label few donors have
+    cells = [(1, e, f"i{f}", float(v)) for e, row in enumerate(x) for f, v in enumerate(row) if not np.isnan(v)]
+    panel = spark.createDataFrame(cells, "period int, entity long, indicator string, value double")
+    every = spark.range(300).selectExpr("1 as period", "id as entity")
+    receivers = every.join(panel, ["period", "entity"], "left")
+    found = neighbours.knn_cells(receivers, panel, ["period"], 5, receiver_rows=70, donor_rows=90)
+    got = {(r.entity, r.indicator): r.value for r in found.collect()}
+    seen, filled = ~np.isnan(x), np.nan_to_num(x)
+    shared = seen.astype(float) @ seen.T
+    square = (filled**2) @ seen.T + seen @ (filled**2).T - 2 * filled @ filled.T
+    with np.errstate(all="ignore"):
+        distance = np.where(shared > 0, np.round(np.maximum(square, 0) / shared, 9), np.inf)
+    want = {}
+    for e, f in zip(*np.nonzero(~seen)):
+        near = sorted((distance[e, d], d) for d in np.nonzero(seen[:, f])[0] if np.isfinite(distance[e, d]))[:5]
+        want[int(e), f"i{f}"] = np.mean([x[d, f] for _, d in near]) if near else np.nanmean(x[:, f])
+    assert got.keys() == want.keys()
+    assert max(abs(got[c] - want[c]) for c in want) < 1e-9
+    # a missing cell leaves a block as one row, whatever the number of its donors
+    blocks = pd.DataFrame(cells, columns=["period", "entity", "indicator", "value"]).groupby("entity")
+    packed = pd.DataFrame({"entity": list(blocks.groups), "names": [g["indicator"].to_numpy() for _, g in blocks], "seen": [g["value"].to_numpy() for _, g in blocks]})
+    parts = pd.concat(neighbours._candidates(packed, packed, 5))
+    assert not parts.duplicated(["entity", "indicator"]).any()
