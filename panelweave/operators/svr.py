@@ -58,25 +58,65 @@ def _scales(rows: DataFrame, keys: Sequence[str]) -> dict[tuple, Scaled]:
     }
 
 
-def _batches(batches: Iterator[pa.RecordBatch], width: int, scales: dict[tuple, Scaled]):
-    """(key, standardised predictors, standardised labels) of each target's rows of each batch."""
+#: Rows of a block, which is one row of the table that steps read.
+BLOCK = 1 << 12
+
+
+def _blocks(rows: DataFrame, keys: Sequence[str], scales: dict[tuple, Scaled]) -> DataFrame:
+    """(keys, size, z, y): the standardised predictors and labels of up to ``BLOCK`` rows of a target as bytes of doubles."""
+    width = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+        kinds: list = []
+
+        def packed(key: tuple) -> pa.RecordBatch:
+            z, y = (np.concatenate(p) for p in zip(*held.pop(key)))
+            arrays = [pa.array([key[c]], kinds[c]) for c in range(width)]
+            arrays += [pa.array([len(y)], pa.int32()), pa.array([z.tobytes()], pa.binary()), pa.array([y.tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, names=[*keys, "size", "z", "y"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds[:] = [batch.schema.field(k).type for k in range(width)]
+            x = batch.column(width + 1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
+            y = batch.column(width).to_numpy(zero_copy_only=False)
+            names = list(zip(*(batch.column(k).to_pylist() for k in range(width))))
+            groups: dict[tuple, list[int]] = {}
+            for row, key in enumerate(names):
+                groups.setdefault(key, []).append(row)
+            for key, at in groups.items():
+                s = scales[key]
+                part = np.where(np.isnan(x[at]), s.fill, x[at]) - s.mean[:-1]
+                z = np.divide(part, s.deviation[:-1], out=np.zeros_like(part), where=s.deviation[:-1] > 0)
+                held.setdefault(key, []).append((z, (y[at] - s.mean[-1]) / (s.deviation[-1] or 1.0)))
+                if sum(len(v) for _, v in held[key]) >= BLOCK:
+                    yield packed(key)
+            while len(held) > 256:  # rows of a target lie together, so older targets are done
+                yield packed(next(iter(held)))
+        for key in list(held):
+            yield packed(key)
+
+    kinds = [f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys]
+    return rows.select(*keys, "y", "x").mapInArrow(run, ", ".join([*kinds, "size int, z binary, y binary"]))
+
+
+def _batches(batches: Iterator[pa.RecordBatch], width: int):
+    """(key, standardised predictors, standardised labels) of each block."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        x = batch.column(width + 1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
-        y = batch.column(width).to_numpy(zero_copy_only=False)
-        names = list(zip(*(batch.column(k).to_pylist() for k in range(width))))
-        groups: dict[tuple, list[int]] = {}
-        for row, key in enumerate(names):
-            groups.setdefault(key, []).append(row)
-        for key, at in groups.items():
-            s = scales[key]
-            part = np.where(np.isnan(x[at]), s.fill, x[at]) - s.mean[:-1]
-            z = np.divide(part, s.deviation[:-1], out=np.zeros_like(part), where=s.deviation[:-1] > 0)
-            yield key, z, (y[at] - s.mean[-1]) / (s.deviation[-1] or 1.0)
-
-
-def _step(rows, keys, scales, state, squared: bool, cost: float) -> dict[tuple, tuple[np.ndarray, np.ndarray]]:
+        names = [batch.column(k).to_pylist() for k in range(width)]
+        size, z, y = (batch.column(width + k) for k in range(3))
+        for row in range(batch.num_rows):
+            n = size[row].as_py()
+            yield (
+                tuple(name[row] for name in names),
+                np.frombuffer(z[row].as_buffer(), float).reshape(n, -1),
+                np.frombuffer(y[row].as_buffer(), float),
+            )
+
+
+def _step(rows, keys, state, squared: bool, cost: float) -> dict[tuple, tuple[np.ndarray, np.ndarray]]:
     """Of each target, for each share: the errors' sum, and the weighted sums of (1, z, y) there."""
     width, kinds = len(keys), [rows.schema[k].dataType.simpleString() for k in keys]
 
@@ -90,17 +130,18 @@ def _step(rows, keys, scales, state, squared: bool, cost: float) -> dict[tuple,
                 types = [batch.schema.field(k).type for k in range(width)]
                 yield batch
 
-        for key, z, y in _batches(typed(batches), width, scales):
+        for key, z, y in _batches(typed(batches), width):
             here, there, epsilon = state[key]
             one = np.column_stack([np.ones(len(y)), z])
             full = np.column_stack([one, y])
             lost, sums = [], []
             for share in SHARES:
-                over = np.abs(y - one @ (here + share * (there - here))) - epsilon
+                left = y - one @ (here + share * (there - here))
+                over = np.abs(left) - epsilon
                 out = np.maximum(over, 0.0)
                 weight = np.where(over > 0, cost if squared else cost / np.maximum(over, LEAST), 0.0)
                 # the tube's edge, not its middle, is what a row outside is drawn to
-                edge = y - np.sign(y - one @ (here + share * (there - here))) * epsilon
+                edge = y - np.sign(left) * epsilon
                 full[:, -1] = edge
                 lost.append(0.5 * (out**2).sum() if squared else out.sum())
                 sums.append((full * weight[:, None]).T @ full)
@@ -116,7 +157,7 @@ def _step(rows, keys, scales, state, squared: bool, cost: float) -> dict[tuple,
             yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "lost", "sums"])
 
     schema = ", ".join([*(f"{k} {t}" for k, t in zip(keys, kinds)), "lost array<double>", "sums array<double>"])
-    parts = rows.select(*keys, "y", "x").mapInArrow(run, schema)
+    parts = rows.mapInArrow(run, schema)
 
     def total(pdf: pd.DataFrame) -> list[tuple]:
         return [(np.sum(np.stack([np.concatenate(p) for p in zip(pdf["lost"], pdf["sums"])]), axis=0).tolist(),)]
@@ -130,7 +171,7 @@ def _step(rows, keys, scales, state, squared: bool, cost: float) -> dict[tuple,
     return out
 
 
-def _tubes(rows, keys, scales, models, nu: float) -> dict[tuple, float]:
+def _tubes(rows, keys, models, nu: float) -> dict[tuple, float]:
     """The quantile of each target's absolute residuals that leaves a fraction ``nu`` beyond it."""
     width = len(keys)
 
@@ -141,13 +182,14 @@ def _tubes(rows, keys, scales, models, nu: float) -> dict[tuple, float]:
                 yield batch
 
         kinds: list = []
-        for key, z, y in _batches(typed(batches), width, scales):
+        for key, z, y in _batches(typed(batches), width):
             size = np.abs(y - models[key][0] - z @ models[key][1:])
-            arrays = [pa.array([key[c]] * len(size), kinds[c]) for c in range(width)]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(size)], names=[*keys, "size"])
+            arrays = [pa.array([key[c]], kinds[c]) for c in range(width)]
+            sizes = pa.ListArray.from_arrays(pa.array([0, len(size)], pa.int32()), pa.array(size))
+            yield pa.RecordBatch.from_arrays([*arrays, sizes], names=[*keys, "sizes"])
 
-    schema = ", ".join([*(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys), "size double"])
-    sizes = rows.select(*keys, "y", "x").mapInArrow(run, schema)
+    schema = ", ".join([*(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys), "sizes array<double>"])
+    sizes = rows.mapInArrow(run, schema).select(*keys, F.explode("sizes").alias("size"))
     found = sizes.groupBy(*keys).agg(F.percentile_approx("size", 1 - nu, 10_000).alias("tube")).collect()
     return {tuple(r[k] for k in keys): r["tube"] for r in found}
 
@@ -177,6 +219,9 @@ def fit(
     scales = _scales(rows, keys)
     if sum(8 * 4 * len(s.mean) for s in scales.values()) > MOST_MODELS:
         raise ValueError(f"{len(scales)} targets are too many at once; run them in parts")
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
+    # steps read blocks of standardised rows: keys, missing values and units are settled once
+    rows = cut(_blocks(rows, keys, scales), "svr-blocks")
     here = {key: np.zeros(len(s.mean)) for key, s in scales.items()}
     there = {key: b.copy() for key, b in here.items()}
     tubes = {key: epsilon for key in scales}
@@ -184,8 +229,8 @@ def fit(
     best, step = dict(here), 0
     for step in range(1, steps + 1) if scales else ():
         if nu is not None:
-            tubes = _tubes(rows, keys, scales, here, nu)
-        found = _step(rows, keys, scales, {k: (here[k], there[k], tubes[k]) for k in scales}, squared, cost)
+            tubes = _tubes(rows, keys, here, nu)
+        found = _step(rows, keys, {k: (here[k], there[k], tubes[k]) for k in scales}, squared, cost)
         moved = False
         for key, (lost, sums) in found.items():
             ways = [here[key] + share * (there[key] - here[key]) for share in SHARES]
@@ -208,7 +253,6 @@ def fit(
         slopes = np.divide(best[key][1:] * s.deviation[-1], own, out=np.zeros(len(own)), where=own > 0)
         intercept = s.mean[-1] + best[key][0] * s.deviation[-1] - slopes @ s.mean[:-1]
         out.append((*key, float(s.n), float(tubes[key]), float(least[key]), step, float(intercept), slopes.tolist(), s.fill.tolist()))
-    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
     return spark.createDataFrame(
         out, f"{kinds}, n double, epsilon double, loss double, steps int, intercept double, coefficients array<double>, fill array<double>"
     )

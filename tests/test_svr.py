@@ -68,3 +68,18 @@ def test_constant_and_empty(spark, rows):
     (m,) = svr.fit(flat, ["task"]).collect()
     assert m["intercept"] == pytest.approx(2.0, abs=0.2) and m["coefficients"] == [0.0, 0.0]
     assert svr.fit(rows.limit(0), ["task"]).collect() == []
+
+
+def test_steps_read_blocks_not_rows(spark):
+    keys = ["period", "target"]
+    rows = spark.range(3000).selectExpr(
+        "cast(if(id % 3 = 0, null, id % 2) as int) as period", "concat('t', id % 2) as target", "double(id % 11) as y",
+        "array(double(id % 7), if(id % 5 = 0, null, double(id % 4))) as x",
+    )
+    scales = svr._scales(rows, keys)
+    blocks = svr._blocks(rows.coalesce(1).sortWithinPartitions(*keys), keys, scales).collect()
+    assert sum(b["size"] for b in blocks) == 3000
+    assert len(blocks) == len(scales) == 4
+    for b in blocks:
+        z, y = (np.frombuffer(b[c]) for c in "zy")
+        assert abs(z.reshape(b["size"], 2).mean(axis=0)).max() < 1e-9 and abs(y.mean()) < 1e-9
