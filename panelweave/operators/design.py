@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelweave.operators.reshape import column_labels
+from panelweave.session import cut
+
 TARGET = ["period", "target"]
 
 
@@ -41,23 +44,32 @@ def design(panel: DataFrame, chosen: DataFrame, k: int, spread: int | None = Non
     ``x`` holds the values of the target's ``k`` predictors by rank, null where missing; ``y`` is
     null where the target is. An entity's values of a period are one row, which meets the period's
     lists of predictors; a period's entities are dealt over ``spread`` parts (as many as shuffles
-    have, unless given), so a long period is no hot key.
+    have, unless given), so a long period is no hot key. Names are looked up once for an entity's row and
+    once for a list; where they meet, values are taken by their places. The labels reach the driver.
     """
     parts = spread or int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    labels = column_labels(panel.where("indicator is not null"), "indicator")
+    order = F.array(*map(F.lit, labels)) if labels else F.array().cast("array<string>")
+
+    def place(name: Column) -> Column:
+        return F.nullif(F.array_position(order, name), F.lit(0).cast("long")).cast("int")
+
     cells = (
         panel.where("value is not null")
         .groupBy("period", "entity")
         .agg(F.map_from_entries(F.collect_list(F.struct("indicator", "value"))).alias("cells"))
+        .select("period", "entity", F.transform(order, lambda name: F.try_element_at("cells", name)).alias("seen"))
         .withColumn("part", F.pmod(F.xxhash64("entity"), F.lit(parts)).cast("int"))
     )
-    lists = predictor_lists(chosen).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    names = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda j: F.try_element_at("predictors", j))
+    places = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda j: place(F.try_element_at("predictors", j)))
+    lists = predictor_lists(chosen).select(*TARGET, place(F.col("target")).alias("own"), places.alias("places"))
+    lists = cut(lists, "predictor-places").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return cells.join(lists, ["period", "part"]).select(
         "period",
         "target",
         "entity",
-        F.try_element_at("cells", F.col("target")).alias("y"),
-        F.transform(names, lambda name: F.try_element_at("cells", name)).alias("x"),
+        F.try_element_at("seen", F.col("own")).alias("y"),
+        F.transform("places", lambda at: F.try_element_at("seen", at)).alias("x"),
     )
 
 
