@@ -30,8 +30,7 @@ class Run:
 
 def labelled_sums(train: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(train rows with ``fold`` and ``third``, their sums with class weights), both written."""
-    folded = ranking.kfold(train, keys, order, SEARCH)
-    folded = cut(ranking.kfold(folded, keys, order, RESIDUAL, into="third"), "train")
+    folded = cut(ranking.kfolds(train, keys, order, {"fold": SEARCH, "third": RESIDUAL}), "train")
     sums = gram.products(folded, keys, ["fold", "third", "in_focus"])
     return folded, cut(design.class_weighted(sums, keys), "sums")
 

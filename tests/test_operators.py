@@ -185,3 +185,15 @@ def test_nearest_donors_are_exact_over_blocks_and_ties(spark):
     packed = pd.DataFrame({"entity": list(blocks.groups), "names": [g["indicator"].to_numpy() for _, g in blocks], "seen": [g["value"].to_numpy() for _, g in blocks]})
     parts = pd.concat(neighbours._candidates(packed, packed, 5))
     assert not parts.duplicated(["entity", "indicator"]).any()
+
+
+def test_folds_of_several_names_take_one_ranking(spark, monkeypatch):
+    from panelweave.operators import ranking
+
+    calls = []
+    monkeypatch.setattr(ranking, "cut", lambda df, name: calls.append(name) or df.localCheckpoint())
+    df = spark.range(23).selectExpr("id", "id % 2 as k")
+    found = ranking.kfolds(df, ["k"], ["id"], {"fold": 5, "third": 3})
+    each = ranking.kfold(ranking.kfold(df, ["k"], ["id"], 5), ["k"], ["id"], 3, into="third")
+    assert sorted(found.select("id", "fold", "third").collect()) == sorted(each.select("id", "fold", "third").collect())
+    assert calls == ["ranked"] * 3  # one for both, and one for each
