@@ -197,3 +197,20 @@ def test_folds_of_several_names_take_one_ranking(spark, monkeypatch):
     each = ranking.kfold(ranking.kfold(df, ["k"], ["id"], 5), ["k"], ["id"], 3, into="third")
     assert sorted(found.select("id", "fold", "third").collect()) == sorted(each.select("id", "fold", "third").collect())
     assert calls == ["ranked"] * 3  # one for both, and one for each
+
+
+def test_stored_cells_count_in_the_order_of_files_and_lines_without_sorting(spark, tmp_path):
+    from panelweave.sources import results
+
+    folder = tmp_path / "predictions" / "dataset=d" / "period=2001"
+    folder.mkdir(parents=True)
+    (folder / "part-1.csv").write_text("Country Code,year,b,a\nx,2001,7,8\ny,2001,,4\n")
+    (folder / "part-0.csv").write_text("Country Code,year,a\nx,2001,1\nx,2001,2\n")
+    for kind in ("lower", "upper"):
+        other = tmp_path / "prediction intervals" / kind / "dataset=d" / "period=2001"
+        other.mkdir(parents=True)
+        (other / "part-0.csv").write_text("Country Code,year,a\nx,2001,0.5\n")
+    read = results.scan_results(spark, str(tmp_path))
+    found = {(r.entity, r.indicator): (r.value, r.lower, r.upper) for r in read.collect()}
+    assert found == {("x", "a"): (1.0, 0.5, 0.5), ("x", "b"): (7.0, None, None), ("y", "a"): (4.0, None, None), ("y", "b"): (None, None, None)}
+    assert "SortAggregate" not in read._jdf.queryExecution().sparkPlan().toString()
