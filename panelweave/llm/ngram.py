@@ -206,32 +206,18 @@ class Shard:
 
 
 TEXTS = ("key", "tag", "held", "text")
-SUMS = "bucket long, keys binary, sums binary"
+SUMS = "bucket long, chunk long, keys binary, docs binary, sums binary"
 FIELDS = ("rows", "n_tokens", "n_known", "base_score", "score")
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ones of an array of ``ROW``, and where among them each is."""
-    order = np.lexsort((keys["tag"], keys["key"]))
-    keys = keys[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys["key"][1:] != keys["key"][:-1]) | (keys["tag"][1:] != keys["tag"][:-1])
-    where = np.empty(len(keys), np.int64)
-    where[order] = np.cumsum(new) - 1
-    return keys[new], where
+def _numbers(x: np.ndarray, below: int) -> bytes:
+    """Numbers below a bound, in two bytes each where that does."""
+    return x.astype(np.uint16 if below <= 1 << 16 else np.uint32).tobytes()
 
 
-def _sums(keys: np.ndarray, values: list[np.ndarray], buckets: int) -> pa.Table:
-    """Sums for each row as packed arrays, a line for each bucket of rows."""
-    found, where = _distinct(keys)
-    total = np.stack([np.bincount(where, v, len(found)) for v in values], axis=1)
-    bucket = _spread(found["key"].astype(np.uint64)) % np.uint64(buckets)
-    order = np.argsort(bucket, kind="stable")
-    found, total = found[order], total[order]
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    full = np.flatnonzero(np.diff(cuts)).tolist()
-    cut = lambda x: pa.array([x[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary())
-    return pa.table({"bucket": pa.array(full, pa.int64()), "keys": cut(found), "sums": cut(total)})
+def _back(blob: bytes, n: int) -> np.ndarray:
+    """The n numbers of ``_numbers``."""
+    return np.frombuffer(blob, np.uint16 if len(blob) == 2 * n else np.uint32).astype(np.int64)
 
 
 def scores(
@@ -269,7 +255,9 @@ def scores(
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = Vocabulary(files, total)
         _, ends = level.find(np.array([END], np.uint64))
-        for turn, items in enumerate(_chunks(batches)):
+        for items in _chunks(batches):
+            items.sort(key=lambda item: item[1])  # those held out last
+            learnt = sum(not h for _, h, *_ in items)
             lens = np.array([len(p) for *_, p in items], np.int64)
             found, where = np.unique(np.concatenate([p for *_, p in items]), return_inverse=True)
             ids, counts = level.find(found)
@@ -288,11 +276,12 @@ def scores(
             alone = (token == unknown) | (before == unknown) | (n_before == 0)
             own_score = np.where(alone, base + np.log10(PULL / (n_before + PULL)), 0.0)
             keys = np.array([k for k, *_ in items], ROW)
-            held = np.array([h for _, h, *_ in items])
+            # the same keys may be those of two chunks, whose sums then are added up for each of them
+            chunk = xxhash.xxh3_64_intdigest(keys.tobytes()) >> 1
             values = [first.astype(float)] + [
                 np.bincount(doc, v, len(items)) for v in (np.ones(len(doc)), n > 0, base, own_score)
             ]
-            out = [(shards + turn % shards, b"", b"", b"", b"", keys.tobytes(), np.stack(values).tobytes())]
+            out = [(shards + chunk % shards, chunk, 0, b"", b"", b"", keys.tobytes(), np.stack(values, axis=1).tobytes())]
             token, n, doc, before, n_before = (x[~alone].astype(np.uint64) for x in (token, n, doc, before, n_before))
             ways = np.uint64(1) + n_before // np.uint64(hot)
             shard = (_spread(before) + _spread(token) % ways) % np.uint64(shards)
@@ -308,36 +297,33 @@ def scores(
             for s in np.flatnonzero(np.diff(cuts)).tolist():
                 x = slice(cuts[s], cuts[s + 1])
                 kind = np.uint8 if times[x].max() < 256 else np.uint32
-                used, index = np.unique(doc[x], return_inverse=True)
-                index = index.astype(np.uint16 if len(used) < 1 << 16 else np.uint32)
                 out.append(
-                    (s, packed[x].tobytes(), index.tobytes(), times[x].astype(kind).tobytes(),
-                     held[used.astype(np.int64)].tobytes(), keys[used.astype(np.int64)].tobytes(), b"")
-                )
-            names = ("part", "pairs", "doc", "times", "held", "keys", "values")
+                    (s, chunk, learnt, packed[x].tobytes(), _numbers(doc[x], len(items)), times[x].astype(kind).tobytes(), b"", b"")
+                )
+            names = ("part", "chunk", "learnt", "pairs", "doc", "times", "keys", "values")
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in out], pa.int64() if not k else pa.binary()) for k in range(7)], names=names
+                [pa.array([r[k] for r in out], pa.int64() if k < 3 else pa.binary()) for k in range(8)], names=names
             )
         release()
 
     def settle(key: tuple, blobs: pa.Table) -> pa.Table:
         part = key[0].as_py()
         if part >= shards:
-            keys = [np.frombuffer(b, ROW) for b in blobs["keys"].to_pylist()]
-            values = [np.frombuffer(b, float).reshape(5, -1) for b in blobs["values"].to_pylist()]
-            return _sums(np.concatenate(keys), np.concatenate(values, axis=1), shards)
-        pairs, rows_, times, held, keys, docs_ = [], [], [], [], [], 0
-        for p, d, t, h, k in zip(*(blobs[c].to_pylist() for c in ("pairs", "doc", "times", "held", "keys"))):
+            n = len(blobs)
+            return pa.table({
+                "bucket": np.full(n, part - shards), "chunk": blobs["chunk"], "keys": blobs["keys"],
+                "docs": pa.array([b""] * n, pa.binary()), "sums": blobs["values"],
+            })
+        pairs, rows_, times, held, cuts = [], [], [], [], [0]
+        for p, d, t, n in zip(*(blobs[c].to_pylist() for c in ("pairs", "doc", "times", "learnt"))):
             raw = np.zeros((len(p) // wide, 8), np.uint8)
             raw[:, :wide] = np.frombuffer(p, np.uint8).reshape(-1, wide)
             pairs.append(raw.view(np.uint64)[:, 0])
-            index = np.frombuffer(d, np.uint16 if len(d) == 2 * len(raw) else np.uint32)
-            rows_.append(index.astype(np.int64) + docs_)
-            keys.append(np.frombuffer(k, ROW))
-            docs_ += len(keys[-1])
-            held.append(np.frombuffer(h, bool)[index])
+            rows_.append(_back(d, len(raw)))
+            held.append(rows_[-1] >= n)
             times.append(np.frombuffer(t, np.uint8 if len(t) == len(raw) else np.uint32).astype(np.int64))
-        pairs, rows_, times, held = map(np.concatenate, (pairs, rows_, times, held))
+            cuts.append(cuts[-1] + len(raw))
+        pairs, times, held = map(np.concatenate, (pairs, times, held))
         found, where = np.unique(pairs, return_inverse=True)
         seen = np.bincount(where, times * ~held, len(found))
         before, token = (found >> bits).astype(np.int64), (found & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
@@ -351,24 +337,46 @@ def scores(
         save(path, Shard.arrays(before[learnt], token[learnt], score[learnt], words + 2))
         looked = Shard(load(path)).find(before, token)
         score = np.where(np.isnan(looked), np.log10(PULL * one / (behind + PULL)), looked)
-        zero = np.zeros(docs_)
-        of_row = np.bincount(rows_, score[where] * times, docs_)
-        return _sums(np.concatenate(keys), [zero, zero, zero, zero, of_row], shards)
+        # of each chunk the places of its rows and what this shard adds to their scores; only the chunk knows their keys
+        chunk, docs_, sums_ = blobs["chunk"].to_pylist(), [], []
+        for k, doc in enumerate(rows_):
+            used, index = np.unique(doc, return_inverse=True)
+            x = slice(cuts[k], cuts[k + 1])
+            docs_.append(_numbers(used, int(used[-1]) + 1))
+            sums_.append(np.bincount(index, score[where[x]] * times[x], len(used)).tobytes())
+        return pa.table({
+            "bucket": pa.array([c % shards for c in chunk], pa.int64()), "chunk": pa.array(chunk, pa.int64()),
+            "keys": pa.array([b""] * len(chunk), pa.binary()), "docs": pa.array(docs_, pa.binary()),
+            "sums": pa.array(sums_, pa.binary()),
+        })
 
     def finish(sums: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(b, ROW) for b in sums["keys"].to_pylist()])
-        values = np.concatenate([np.frombuffer(b, float).reshape(-1, 5) for b in sums["sums"].to_pylist()])
-        found, where = _distinct(keys)
-        total_ = np.stack([np.bincount(where, values[:, k], len(found)) for k in range(5)])
-        total_[1:] /= total_[0]
-        return pa.table({c: np.ascontiguousarray(found[c]) for c in ROW.names} | {
-            f: np.round(total_[k]).astype(np.int64) if k < 3 else total_[k] for k, f in enumerate(FIELDS)
+        """The rows of each chunk with their sums; a row that lies in several chunks comes with each."""
+        of: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        blobs = list(zip(*(sums[c].to_pylist() for c in ("chunk", "keys", "docs", "sums"))))
+        for chunk, k, _, v in blobs:
+            if k:
+                own = np.frombuffer(v, float).reshape(-1, 5)
+                of[chunk] = np.frombuffer(k, ROW), of[chunk][1] + own if chunk in of else own.copy()
+        for chunk, k, d, v in blobs:
+            if not k:
+                part = np.frombuffer(v, float)
+                of[chunk][1][_back(d, len(part)), 4] += part
+        keys, total_ = (np.concatenate(x) for x in zip(*of.values()))
+        return pa.table({c: np.ascontiguousarray(keys[c]) for c in ROW.names} | {
+            f: np.ascontiguousarray(total_[:, k]) for k, f in enumerate(FIELDS)
         })
 
-    names = "part long, pairs binary, doc binary, times binary, held binary, keys binary, values binary"
+    names = "part long, chunk long, learnt long, pairs binary, doc binary, times binary, keys binary, values binary"
     sums = rows.select(*TEXTS).mapInArrow(deal, names).groupBy("part").applyInArrow(settle, SUMS)
-    kinds = ", ".join(f"{f} {'long' if k < 3 else 'double'}" for k, f in enumerate(FIELDS))
-    found = written(sums.groupBy("bucket").applyInArrow(finish, f"key long, tag int, {kinds}"), "lm-scores")
+    kinds = ", ".join(f"{f} double" for f in FIELDS)
+    found = sums.groupBy("bucket").applyInArrow(finish, f"key long, tag int, {kinds}")
+    found = found.groupBy(*ROW.names).agg(*[F.sum(f).alias(f) for f in FIELDS]).select(
+        *ROW.names,
+        *[F.round(F.col(f) / F.col("rows")).cast("long").alias(f) for f in FIELDS[1:3]],
+        *[(F.col(f) / F.col("rows")).alias(f) for f in FIELDS[3:]],
+    )
+    found = written(found, "lm-scores")
     return rows.select("id", "key", "tag", "held").join(found, [*ROW.names]).select(
         "id", "held", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score",
     )

@@ -96,3 +96,46 @@ def test_empty(docs_of):
     assert ngram.scores(docs_of([])).collect() == []
     only_held = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 7 == 2)
     same(ngram.scores(docs_of([(only_held, "a b")])).collect(), brute([(only_held, "a b")]))
+
+
+def test_a_row_costs_little_for_each_shard(spark, docs_of, monkeypatch):
+    sent = []
+    frame, grouped = type(spark.range(0)), type(spark.range(0).groupBy("id"))
+    plain_map, plain_groups = frame.mapInArrow, grouped.applyInArrow
+
+    def counter():
+        sent.append(spark.sparkContext.accumulator(0))
+        return sent[-1]
+
+    def counted_map(self, fn, schema, *more, **named):
+        size = counter()
+
+        def run(batches):
+            for batch in fn(batches):
+                size.add(batch.nbytes)
+                yield batch
+
+        return plain_map(self, run, schema, *more, **named)
+
+    def counted_groups(self, fn, schema):
+        size = counter()
+
+        def run(key, rows):
+            out = fn(key, rows) if fn.__code__.co_argcount == 2 else fn(rows)
+            size.add(out.nbytes)
+            return out
+
+        return plain_groups(self, run, schema)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted_map)
+    monkeypatch.setattr(grouped, "applyInArrow", counted_groups)
+    rng = np.random.default_rng(8)
+    docs = docs_of([(k, " ".join(f"w{x}" for x in rng.integers(0, 300, 150))) for k in range(240)])
+    size, shards = [], []
+    for tokens in (1_000_000, 1_000):
+        sent.clear()
+        total = ngram.scores(docs, shard_tokens=tokens).collect()[0].train_tokens
+        size.append(sum(x.value for x in sent))
+        shards.append(1 + total // tokens)
+    assert shards[0] == 1 and shards[1] > 25
+    assert size[1] - size[0] <= 30 * 240 * (shards[1] - 1)
