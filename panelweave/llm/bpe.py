@@ -30,8 +30,8 @@ from panelweave.llm.common import Memo, release, table
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of a text that are parted at once, and bytes of a piece that is remembered whole.
 SLICE, SHORT, BUFFER = 1 << 16, 64, 4096
-#: Rows whose ids are held at once.
-ROWS = 500
+#: Rows whose ids are held at once, and words that a task remembers beside them.
+ROWS, WORDS = 500, 100_000
 NEVER = 1 << 60
 #: Letters and numbers newer than the Unicode of the tokenizers library, which takes them as other signs.
 NEWER = """
@@ -111,7 +111,7 @@ def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
 class Encoder:
     """Whole texts to token ids, a stable token at a time."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, words: int = 200_000):
         ids = vocabulary.ids
         self.first = [ids.get(bytes([b]), -1) for b in range(256)]
         self.rank = {(ids[x], ids[y]): rank for rank, (x, y) in enumerate(vocabulary.merges)}
@@ -127,10 +127,16 @@ class Encoder:
         self.edge = regex.compile(r"(?<=\S)\s")
         found = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, found)) + ")") if found else None
-        self.memo = Memo(self._piece, 100_000)
+        self.memo = Memo(self._piece, words // 2)
         #: The same for whole words behind a space, and behind a line end.
-        self.spaced = Memo(lambda word: self._parted(" " + word), 200_000)
-        self.lined = Memo(lambda word: self._parted("\n" + word), 20_000)
+        self.spaced = Memo(lambda word: self._parted(" " + word), words)
+        self.lined = Memo(lambda word: self._parted("\n" + word), words // 10)
+
+    def forget(self) -> None:
+        """Drops what is remembered; the memos know their encoder, so it does not go by itself when its last user does."""
+        for memo in (self.memo, self.spaced, self.lined):
+            memo.clear()
+            memo.old = {}
 
     def _parted(self, text: str) -> bytes:
         return b"".join(map(self.memo.__getitem__, self.pieces.findall(text)))
@@ -323,6 +329,7 @@ def digest(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        encoder.forget()
         release()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -335,7 +342,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
     columns = [c for c in docs.columns if c not in (text_col, *new)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
+        encoder, decoder = Encoder(vocabulary, WORDS), Decoder(vocabulary)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
@@ -348,6 +355,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
                     [*batch.columns[1:], pa.array(n, pa.int64()), lists, pa.array(sha, pa.string())],
                     names=[*columns, *new],
                 )
+        encoder.forget()
         release()
 
     schema = StructType([docs.schema[c] for c in columns])

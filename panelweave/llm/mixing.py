@@ -15,12 +15,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelweave.llm.common import WORD, fresh, table, written
+from panelweave.llm.common import WORD, few_rows, fresh, table, written
 
 WEIGHTS, MOST_REPEATS, SEED = (1, 2, 3), 3, 17
 #: Words of a block, blocks of a shard, and blocks of one sorted bucket.
@@ -140,7 +139,8 @@ def draws(
     source's blocks are sorted in as many buckets as its size asks for.
     """
     spark = rows.sparkSession
-    known = spark.createDataFrame(
+    known = few_rows(
+        spark,
         [(s, k, size, round(aim), -(-round(aim) // size) if size else 0) for s, k, size, aim in sources],
         "source string, number int, total long, aim long, passes long",
     )
@@ -239,8 +239,8 @@ def mix(
         F.min("shard").alias("first_shard"),
         F.bit_xor(F.xxhash64("turn", "block", "shard", "place")).alias("placement"),
     )
-    known = rows.sparkSession.createDataFrame(
-        [(s, size, aim) for s, _, size, aim in sources], "source string, source_size long, target double"
+    known = few_rows(
+        rows.sparkSession, [(s, size, aim) for s, _, size, aim in sources], "source string, source_size long, target double"
     )
     return (
         rows.join(known, rows["source"].eqNullSafe(known["source"]))
@@ -284,18 +284,24 @@ def mixed_docs(
         .agg(F.sum("words").alias(words_col), F.collect_list(F.struct("block", "words")).alias(blocks_col))
     )
 
-    @F.pandas_udf("string")
-    def pick(text: pd.Series, words: pd.Series, blocks: pd.Series) -> pd.Series:
-        out = []
-        for t, n, parts in zip(text, words, blocks):
-            all_words = t.encode().split()
-            if n < len(all_words):
-                runs = sorted((p["block"] * block, p["words"]) for p in parts)
-                t = b" ".join(b" ".join(all_words[a : a + k]) for a, k in runs).decode()
-            out.append(t)
-        return pd.Series(out)
-
-    out = numbered.join(drawn, row_col).withColumn(text_col, pick(text_col, words_col, blocks_col))
+    at = docs.columns.index(text_col)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, words, blocks = batch.columns
+            texts = []
+            for text, n, parts in zip(columns[at], words.to_pylist(), blocks):
+                t = text.as_py()
+                all_words = t.encode().split()
+                if n < len(all_words):
+                    runs = sorted((p["block"] * block, p["words"]) for p in parts.as_py())
+                    t = b" ".join(b" ".join(all_words[a : a + k]) for a, k in runs).decode()
+                texts.append(t)
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-2])
+
+    joined = numbered.join(drawn, row_col).select(*docs.columns, words_col, blocks_col)
+    out = joined.mapInArrow(pick, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

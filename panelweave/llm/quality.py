@@ -321,10 +321,18 @@ def fit(
     labelled = texts.join(chosen, "id").select(F.lit(0).alias("one"), "id", "text", *HEADS)
     labels = {h: m.labels for h, m in models.items()}
 
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = Memo(_slots, 100_000)
+        for batch in batches:
+            one, id_, text, *cast = batch.columns
+            x = pa.array([features(Shape(t.as_py()), slots).tobytes() for t in text], pa.binary())
+            yield pa.RecordBatch.from_arrays([one, id_, x, *cast], names=["one", "id", "slots", *HEADS])
+        del slots
+        release()
+
     def train(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("id")
-        slots = Memo(_slots)
-        x = [features(Shape(t), slots) for t in rows["text"].to_pylist()]
+        x = [np.frombuffer(s.as_buffer(), np.int32) for s in rows["slots"]]
         w = []
         for h in HEADS:
             cast = rows[h].to_pylist()
@@ -336,7 +344,8 @@ def fit(
         release()
         return out
 
-    found = labelled.groupBy("one").applyInArrow(train, "weights binary").collect()
+    kinds = "one int, id long, slots binary, " + ", ".join(f"{h} string" for h in HEADS)
+    found = labelled.mapInArrow(described, kinds).groupBy("one").applyInArrow(train, "weights binary").collect()
     if found:
         weights = np.frombuffer(found[0][0], np.float32).reshape(len(HEADS), -1)
     else:

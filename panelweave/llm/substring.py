@@ -21,12 +21,12 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from panelweave.llm.common import Memo, fresh, release, table, utf8, words_of, written
 
@@ -384,26 +384,34 @@ def dedup_text(
     Other columns are kept, whatever their names.
     """
 
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, hits: pd.Series) -> pd.Series:
-        return pd.Series(
-            [t if h is None or t is None else kept_text(t, h, window) for t, h in zip(text, hits)]
-        )
+    at = docs.columns.index(text_col)
+    own_col, hits_col, cut_col = fresh(docs, "__id", "__hits", "__cut")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, hits = batch.columns
+            rows = hits.is_valid()
+            if rows.true_count:
+                columns[at] = pa.array(
+                    [
+                        t.as_py() if h is None or not t.is_valid else kept_text(t.as_py(), h, window)
+                        for t, h in zip(columns[at], hits.to_pylist())
+                    ],
+                    pa.string(),
+                )
+            yield pa.RecordBatch.from_arrays([*columns, rows], names=[*batch.schema.names[:-1], cut_col])
+        release()
 
-    own_col, hits_col = fresh(docs, "__id", "__hits")
     hits = repeats(docs, id_col, text_col, window).select(
         F.col("id").alias(own_col), F.col("hits").alias(hits_col)
     )
-    joined = docs.join(hits, docs[id_col] == hits[own_col], "left")
-    out = joined.withColumn(
-        text_col, F.when(F.col(hits_col).isNull(), F.col(text_col)).otherwise(cut(text_col, hits_col))
-    ).where(F.col(hits_col).isNull() | (F.col(text_col) != ""))
+    joined = docs.join(hits, docs[id_col] == hits[own_col], "left").select(*docs.columns, hits_col)
+    out = joined.mapInArrow(cut, StructType([*docs.schema, StructField(cut_col, BooleanType())]))
+    out = out.where(~F.col(cut_col) | (F.col(text_col) != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn(
             "n_chars",
-            F.when(F.col(hits_col).isNull(), F.col("n_chars")).otherwise(
-                F.length(text_col).cast(docs.schema["n_chars"].dataType)
-            ),
+            F.when(F.col(cut_col), F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")),
         )
     return out.select(docs.columns)
 

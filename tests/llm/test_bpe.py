@@ -99,3 +99,14 @@ def test_digest_and_round_trip(docs_of, corpus, vocabulary, library):
 def test_other_vocabularies_are_refused():
     with pytest.raises((ValueError, KeyError, TypeError)):
         bpe.Vocabulary(bpe.vocabulary_path("word_bpe_49k.json"))
+
+
+def test_few_remembered_words_change_nothing_and_are_forgotten(vocabulary, library):
+    encoder, rnd = bpe.Encoder(vocabulary, words=20), random.Random(5)
+    for _ in range(60):
+        text = " ".join(f"w{rnd.randrange(200)}," for _ in range(40)) + "\nline"
+        assert ids(encoder, text) == library.encode(text, add_special_tokens=False).ids
+    memos = encoder.memo, encoder.spaced, encoder.lined
+    assert [m.most for m in memos] == [10, 20, 2] and all(len(m) <= m.most for m in memos)
+    encoder.forget()
+    assert not any(m or m.old for m in memos)

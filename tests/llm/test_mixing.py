@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelweave.llm import mixing
+from panelweave.llm.common import few_rows
 
 
 def test_targets_are_held_to_three_times_the_size():
@@ -112,3 +113,14 @@ def test_clashing_names(docs_of, corpus):
     assert out.columns == docs.columns
     assert {tuple(r)[-4:] for r in out.collect()} == {(7, 7, 7, 7)}
     assert out.count() == mixing.mixed_docs(docs_of(corpus)).count()
+
+
+def test_sources_reach_tasks_without_python_workers_of_their_own(spark, docs_of, corpus, monkeypatch):
+    docs, real, kinds = docs_of(corpus), type(spark).createDataFrame, []
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: kinds.append(type(data)) or real(self, data, *a, **b))
+    assert mixing.mixed_docs(docs, block=16).count() and mixing.mix(docs, block=16).count()
+    assert kinds and list not in kinds
+    few = few_rows(spark, [(None, 1, 2.5), ("s", 2, None)], "a string, b long, c double")
+    assert sorted(map(tuple, few.collect()), key=str) == [("s", 2, None), (None, 1, 2.5)]
+    assert "PythonRDD" not in few._jdf.queryExecution().toRdd().toDebugString()
+    assert few_rows(spark, [], "a string, b long").collect() == []

@@ -90,3 +90,12 @@ def test_judges_accuracy_is_estimated_and_silence_on_other_languages():
     no_insult = quality.LABELLERS["toxic"]["no insult"]
     assert no_insult(quality.Shape("the cat is on the mat")) == quality.GOOD
     assert no_insult(quality.Shape("el gato es de la casa")) == quality.NONE
+
+
+def test_the_task_that_fits_gets_slots_and_no_texts(spark, docs_of, texts, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    real, columns = DataFrame.groupBy, []
+    monkeypatch.setattr(DataFrame, "groupBy", lambda self, *by: columns.append((by, self.columns)) or real(self, *by))
+    quality.fit(docs_of([(k, t) for k, t in enumerate(texts[0][:20])]))
+    assert [c for by, c in columns if by == ("one",)] == [["one", "id", "slots", "low", "toxic"]]

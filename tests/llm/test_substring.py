@@ -104,3 +104,17 @@ def test_clashing_names(docs_of, corpus):
     out = substring.dedup_text(docs)
     assert out.columns == docs.columns and {tuple(r)[-2:] for r in out.collect()} == {(7, 7)}
     assert sorted(map(str, out.select(plain.columns).collect())) == sorted(map(str, substring.dedup_text(plain).collect()))
+
+
+def test_dedup_text_reads_the_joined_rows_with_one_python_evaluation(docs_of, corpus):
+    out = substring.dedup_text(docs_of(corpus), window=10)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("EvalPython|MapInArrow", plan)) == 1
+
+
+def test_dedup_text_drops_rows_without_text_and_counts_characters(spark):
+    words = " ".join(f"wé{k}" for k in range(30))
+    rows = [(1, words), (2, words), (3, None), (4, ""), (5, "x " + words + " y"), (5, None), (None, words)]
+    docs = spark.createDataFrame([(k, t, 7) for k, t in rows], "doc_id long, text string, n_chars int")
+    got = sorted(map(tuple, substring.dedup_text(docs, window=10).collect()), key=str)
+    assert got == sorted([(1, words, 7), (3, None, 7), (4, "", 7), (5, "x\ny", 3), (None, words, 7)], key=str)
