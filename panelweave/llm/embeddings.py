@@ -1,11 +1,11 @@
 """Embedding near-dedup: spherical k-means cells, blocked cosine products within them.
 
-A vector belongs to the cell of its nearest centre. It is a guest in every other
-cell that may hold a vector linked with it: a link's ends are at most
-sqrt(2 - 2 cos) apart, and a vector lies as far from another cell as from the
-plane between the two centres. So all links lie within cells, and the result is
-exact; the centres only decide how much is compared. Cells of many vectors are
-cut into slices, and equal vectors are one.
+A vector belongs to the cell of its nearest centre. It visits every other cell
+that may hold a vector linked with it: a link's ends are at most sqrt(2 - 2 cos)
+apart, and a vector lies as far from another cell as from the plane between the
+two centres. So the ends of every link visit each other's cells, and the result
+is exact; the centres only decide how much is compared. Cells lie in slices as
+large as a task holds, every pair of slices is a task, and equal vectors are one.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,9 @@ from panelweave.llm.common import table, unite, written
 from panelweave.llm.components import components
 
 COSINE = 0.9
-#: Vectors of a cell aimed at, cells at least and at most, vectors the centres are fitted on, rounds, vectors of a slice.
-LEAST_CELLS = 4
+#: Vectors of a cell aimed at, cells at least and at most, vectors the centres are fitted on, rounds, vectors of a slice at
+#: least, and bytes of their numbers at most.
+LEAST_CELLS, HELD = 4, 1 << 24
 CELL, MOST_CELLS, SAMPLE, ROUNDS, SLICE = 2_000, 4_096, 20_000, 6, 2_048
 CELLS = 1 << 20
 
@@ -60,75 +62,163 @@ def _unit(column: pa.Array, size: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def cells_of(classes: DataFrame, size: int, middles: np.ndarray, cosine: float) -> DataFrame:
-    """(cell, home, node, n, v) of vectors of ``size`` numbers: a row for the own cell and for each cell visited."""
-    reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
-    apart = np.sqrt(np.maximum(((middles[:, None] - middles[None]) ** 2).sum(axis=2), 0))
-    apart = np.where(apart > 0, apart, 1.0)
+def _reached(unit: np.ndarray, home: np.ndarray, cells: np.ndarray, middles: np.ndarray, reach: float) -> np.ndarray:
+    """For each vector and each of ``cells`` whether the cell may hold a vector linked with it; its own cell does."""
+    own = middles[home]
+    top = (unit * own).sum(axis=1)
+    apart = np.sqrt(np.maximum(2 - 2 * (own @ middles[cells].T), 0))
+    far = (top[:, None] - unit @ middles[cells].T) > (reach + 1e-9) * apart
+    return ~far | (home[:, None] == cells[None, :])
+
+
+def homes_of(classes: DataFrame, size: int, middles: np.ndarray) -> DataFrame:
+    """(home, node, n, v) of vectors of ``size`` numbers: the cell of the nearest centre."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                near = _unit(part.column(2), size) @ middles.T
-                home = near.argmax(axis=1)
-                top = near[np.arange(len(near)), home]
-                visits = (top[:, None] - near) / apart[home] <= reach
-                visits[np.arange(len(near)), home] = True
-                row, cell = np.nonzero(visits)
-                taken = part.take(pa.array(row))
+                home = (_unit(part.column(2), size) @ middles.T).argmax(axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int64)), pa.array(home[row] == cell), *taken.columns],
-                    names=["cell", "home", "node", "n", "v"],
+                    [pa.array(home.astype(np.int64)), *part.columns], names=["home", "node", "n", "v"]
                 )
 
     rows = classes.where(F.size("v") == size).select("node", "n", "v")
-    return rows.mapInArrow(assign, "cell long, home boolean, node long, n long, v array<double>")
-
-
-def _pairs(cells: DataFrame, size: int, cosine: float) -> DataFrame:
-    """(src, dst, n): dst null for a count of links of src, or a link of a spanning forest with n 0."""
-    slices = {
-        (r[0], r[1]): -(-r[2] // SLICE)
-        for r in cells.groupBy("cell", "home").agg(F.count(F.lit(1))).collect()
-    }
-    many = cells.sparkSession.createDataFrame(
-        [(c, slices.get((c, True), 0), slices.get((c, False), 0)) for c in {k[0] for k in slices}] or [(-1, 0, 0)],
-        "cell long, homes int, guests int",
-    )
-    # A task holds a slice of home vectors and a slice of the cell's vectors, home and guest.
-    dealt = cells.join(many, "cell").where("homes > 0").withColumn("mix", F.abs(F.xxhash64("node") % 1_000_003))
-    own = F.when(F.col("home"), F.pmod("mix", "homes")).otherwise(F.col("homes") + F.pmod("mix", "guests")).cast("int")
-    dealt = dealt.withColumn("own", own)
-    right = dealt.select(
-        F.explode(F.expr("sequence(0, homes - 1)")).alias("left"), F.col("own").alias("right"), F.lit(False).alias("asks"),
-        "cell", "node", "n", "v",
-    )
-    left = dealt.where("home").select(
-        F.col("own").alias("left"), F.explode(F.expr("sequence(0, homes + guests - 1)")).alias("right"),
-        F.lit(True).alias("asks"), "cell", "node", "n", "v",
-    )
+    return rows.mapInArrow(assign, "home long, node long, n long, v array<double>")
+
+
+def slices_of(rows_of: dict[int, int], cells: int, slice_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, slices) of each cell: cells share a slice of ``slice_rows`` vectors, larger ones are cut into several."""
+    first, many = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
+    at, held = -1, slice_rows
+    for cell in sorted(rows_of):
+        n = rows_of[cell]
+        if held + n > slice_rows:
+            at, held = at + 1, 0
+        first[cell], many[cell] = at, max(1, -(-n // slice_rows))
+        at, held = at + many[cell] - 1, held + n
+    return first, many
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """The numbers as they are, in single precision where that loses nothing."""
+    short = x.astype(np.float32)
+    return (short if np.array_equal(short, x) else x).tobytes()
+
+
+def _pairs(homes: DataFrame, size: int, middles: np.ndarray, cosine: float) -> DataFrame:
+    """(src, dst, n): dst null for a count of links of src, or a link of a spanning forest with n 0.
+
+    A vector lies in one slice, and goes to the tasks of that slice and of each slice
+    with a cell that may hold a vector linked with it. So it is dealt once for each
+    slice at most, however many cells it visits, and every two vectors meet once.
+    """
+    rows_of = {r[0]: r[1] for r in homes.groupBy("home").agg(F.count(F.lit(1))).collect()}
+    rows = sum(rows_of.values())
+    # slices as large as a task holds, but enough pairs of them for all cores
+    sides = int(np.ceil(np.sqrt(8 * homes.sparkSession.sparkContext.defaultParallelism)))
+    slice_rows = max(SLICE, min(HELD // (8 * size), -(-rows // sides)))
+    first, many = slices_of(rows_of, len(middles), slice_rows)
+    cells = np.array(sorted(rows_of), np.int64)
+    reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
+    spread = np.concatenate([np.arange(first[c], first[c] + many[c]) for c in cells]) if len(cells) else cells
+    cell_of = np.repeat(np.arange(len(cells)), many[cells])
+    starts = np.flatnonzero(np.diff(spread, prepend=-1))
+
+    def pack(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [pa.concat_arrays([b.column(k) for b in batches]) for k in range(4)]
+        home, node, n = (c.to_numpy(zero_copy_only=False) for c in columns[:3])
+        x = columns[3].flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+        with np.errstate(over="ignore"):
+            mix = (node.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        own = first[home] + mix.astype(np.int64) % many[home]
+        goes = np.zeros((len(node), len(starts)), bool)
+        for at in range(0, len(node), 1024):
+            some = slice(at, at + 1024)
+            visits = _reached(_unit(columns[3].slice(at, 1024), size), home[some], cells, middles, reach)
+            goes[some] = np.logical_or.reduceat(visits[:, cell_of], starts, axis=1)
+        for s in np.unique(own).tolist():
+            for t in range(len(starts)):
+                picked = np.flatnonzero((own == s) & goes[:, t])
+                if len(picked):
+                    blobs = [home[picked].tobytes(), node[picked].tobytes(), n[picked].tobytes(), _packed(x[picked])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([min(s, t) << 32 | max(s, t)]), pa.array([s > t]), *(pa.array([b]) for b in blobs)],
+                        names=["task", "upper", "home", "node", "n", "v"],
+                    )
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some: list[pa.RecordBatch] = []
+        for batch in batches:
+            some.append(batch)
+            if sum(b.num_rows for b in some) * size * 8 >= HELD // 2:
+                yield from pack(some)
+                some = []
+        if some:
+            yield from pack(some)
+
+    def side(rows: pa.Table, upper: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(home, node, n, unit vectors) of a side, by cell."""
+        rows = rows.filter(pc.equal(rows["upper"], upper))
+        home, node, n = (
+            np.concatenate([np.empty(0, np.int64), *(np.frombuffer(b.as_buffer(), np.int64) for b in rows[c])])
+            for c in ("home", "node", "n")
+        )
+        x, at = np.empty((len(node), size)), 0
+        for blob, ids in zip(rows["v"], rows["node"]):
+            m = len(ids.as_buffer()) // 8
+            data = blob.as_buffer()
+            kind = np.float32 if len(data) == 4 * m * size else np.float64
+            x[at : at + m] = np.frombuffer(data, kind).reshape(m, size)
+            at += m
+        order = np.argsort(home, kind="stable")
+        for a in range(0, len(order), 1024):
+            x[a : a + 1024] /= np.abs(x[a : a + 1024]).max(axis=1, keepdims=True)
+            x[a : a + 1024] /= np.linalg.norm(x[a : a + 1024], axis=1, keepdims=True)
+        return home[order], node[order], n[order], x[order]
 
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
-        asks = rows["asks"].to_numpy()
-        node, n = rows["node"].to_numpy(), rows["n"].to_numpy()
-        unit = _unit(rows["v"].combine_chunks(), size)
-        a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
-        counts, label = np.zeros(len(a), np.int64), np.arange(len(node))
-        # an equal node on both sides is the same vector
-        label[b] = np.where(np.isin(node[b], node[a]), _first(node, a, b), b)
-        step = max(1, CELLS // max(1, len(b)))
-        for at in range(0, len(a) if len(b) else 0, step):
-            close = unit[a[at : at + step]] @ unit[b].T >= cosine
-            close &= node[a[at : at + step], None] != node[None, b]
-            counts[at : at + step] = close @ n[b]
-            i, j = np.nonzero(close)
-            unite(label, a[i + at], b[j])
+        same = key[0].as_py() >> 32 == key[0].as_py() & 0xFFFFFFFF
+        left = side(rows, False)
+        right = left if same else side(rows, True)
+        offset = 0 if same else len(left[1])
+        node = left[1] if same else np.concatenate((left[1], right[1]))
+        weight = left[2] if same else np.concatenate((left[2], right[2]))
+        unit = left[3], right[3]
+        counts, label = np.zeros(len(node), np.int64), np.arange(len(node))
+        there, here = np.unique(right[0]), np.unique(left[0])
+        to, back = (
+            np.concatenate(
+                [np.empty((0, len(c)), bool)]
+                + [_reached(u[a : a + 1024], h[a : a + 1024], c, middles, reach) for a in range(0, len(h), 1024)]
+            )
+            for u, h, c in ((left[3], left[0], there), (right[3], right[0], here))
+        )
+        for p, c in enumerate(here.tolist()):
+            own = slice(*np.searchsorted(left[0], [c, c + 1]))
+            for q, d in enumerate(there.tolist()):
+                if same and d < c:
+                    continue
+                other = slice(*np.searchsorted(right[0], [d, d + 1]))
+                a = own.start + np.flatnonzero(to[own, q])
+                b = other.start + np.flatnonzero(back[other, p])
+                if not len(a) or not len(b):
+                    continue
+                others, step = unit[1][b].T, max(1, CELLS // len(b))
+                for at in range(0, len(a), step):
+                    some = a[at : at + step]
+                    i, j = np.nonzero(unit[0][some] @ others >= cosine)
+                    i, j = some[i], offset + b[j]
+                    linked = (i < j if same and c == d else i != j) & (node[i] != node[j])
+                    i, j = i[linked], j[linked]
+                    np.add.at(counts, i, weight[j])
+                    np.add.at(counts, j, weight[i])
+                    unite(label, i, j)
         some = np.flatnonzero(counts)
         forest = np.flatnonzero(node != node[label])
         return pa.table(
             {
-                "src": pa.array(np.concatenate((node[a[some]], node[forest]))),
+                "src": pa.array(np.concatenate((node[some], node[forest]))),
                 "dst": pa.array(
                     np.concatenate((np.zeros(len(some), np.int64), node[label[forest]])),
                     mask=np.arange(len(some) + len(forest)) < len(some),
@@ -137,16 +227,8 @@ def _pairs(cells: DataFrame, size: int, cosine: float) -> DataFrame:
             }
         )
 
-    return left.unionByName(right).groupBy("cell", "left", "right").applyInArrow(
-        compare, "src long, dst long, n long"
-    )
-
-
-def _first(node: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of b the place in a that holds the same node, where there is one."""
-    order = a[np.argsort(node[a], kind="stable")]
-    at = np.minimum(np.searchsorted(node[order], node[b]), max(0, len(order) - 1))
-    return order[at] if len(order) else b
+    dealt = homes.mapInArrow(deal, "task long, upper boolean, home binary, node binary, n binary, v binary")
+    return dealt.groupBy("task").applyInArrow(compare, "src long, dst long, n long")
 
 
 def near_vectors(
@@ -166,8 +248,9 @@ def near_vectors(
     sizes = {r[0]: r[1] for r in classes.groupBy(F.size("v")).agg(F.count(F.lit(1))).collect()}
     found = None
     for size, count in sorted(sizes.items()):
-        cells = written(cells_of(classes, size, centres(classes, size, count), cosine), "embedding-cells")
-        part = _pairs(cells, size, cosine)
+        middles = centres(classes, size, count)
+        homes = written(homes_of(classes, size, middles), "embedding-homes")
+        part = _pairs(homes, size, middles, cosine)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], "src long, dst long, n long")

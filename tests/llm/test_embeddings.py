@@ -59,3 +59,27 @@ def test_repeated_rows_and_empty(spark, rows):
 def test_cells_are_fitted_at_every_size(spark, rows):
     classes = embeddings.usable(table(spark, rows), "vec_id", "embedding").where("size(v) = 16").withColumnRenamed("id", "node")
     assert len(embeddings.centres(classes, 16, classes.count())) > 1
+
+
+def test_vectors_are_dealt_once_for_each_slice(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL", 10)
+    monkeypatch.setattr(embeddings, "SLICE", 100)
+    rng = np.random.default_rng(8)
+    rows = [(k, x.tolist()) for k, x in enumerate(rng.normal(size=(600, 8)).astype(np.float32))]
+    made = spark.sparkContext.accumulator(0)
+    frame = type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def counted(self, fn, schema, *more, **named):
+        def run(batches):
+            for batch in fn(batches):
+                made.add(batch.column("v").nbytes if "v" in batch.schema.names else 0)
+                yield batch
+
+        return plain(self, run, schema, *more, **named)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    got = {r["id"]: tuple(r)[1:] for r in embeddings.near_vectors(table(spark, rows)).collect()}
+    assert got == brute(rows)
+    # no vector goes to most of the 60 cells: the table of homes, and at most seven slices
+    assert made.value < 8 * 600 * 8 * 8
