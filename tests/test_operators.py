@@ -214,3 +214,24 @@ def test_stored_cells_count_in_the_order_of_files_and_lines_without_sorting(spar
     found = {(r.entity, r.indicator): (r.value, r.lower, r.upper) for r in read.collect()}
     assert found == {("x", "a"): (1.0, 0.5, 0.5), ("x", "b"): (7.0, None, None), ("y", "a"): (4.0, None, None), ("y", "b"): (None, None, None)}
     assert "SortAggregate" not in read._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_neighbour_blocks_grow_with_the_table_and_hold_no_names(spark, monkeypatch):
+    from panelweave.operators import neighbours
+
+    cells = [(e, f"f{j}", p, float((e * 7 + j * 13) % 29)) for p in (1, 2) for e in range(200) for j in range(6) if (e + j) % 5]
+    panel = spark.createDataFrame(cells, "entity long, indicator string, period int, value double")
+    dealt, plain = [], neighbours.salts_of
+
+    def salts_of(df, keys, rows):
+        dealt.append((rows, dict(df.dtypes)["names"]))
+        return plain(df, keys, rows)
+
+    monkeypatch.setattr(neighbours, "salts_of", salts_of)
+    whole = sorted(map(tuple, neighbours.knn_cells(panel, panel, ["period"]).collect()))
+    monkeypatch.setattr(neighbours, "LEAST_ROWS", 10)
+    cut_up = sorted(map(tuple, neighbours.knn_cells(panel, panel, ["period"], donor_rows=60).collect()))
+    assert whole == cut_up and len(whole) == 480
+    tasks = neighbours.TASKS * spark.sparkContext.defaultParallelism
+    assert [d[0] for d in dealt] == [1 << 13, 1 << 17, -(-400 // tasks), 60]
+    assert {d[1] for d in dealt} == {"array<int>"}
